@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wirelake.llm import neardup
+from wirelake.llm import neardup, packing, splitting, tokenizer
 from wirelake.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,43 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 @query("p1_groups")
 def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.p1_groups(table(spark, d, "articles"))
+
+
+@query("p7_ids")
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokenizer.encode(table(spark, d, "documents"), "byte_bpe_50k")
+
+
+@query("p7_roundtrip")
+def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose ids don't decode to their text; no rows if all do."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    back = tokenizer.decode(tokenizer.encode(docs, "byte_bpe_50k"), "byte_bpe_50k").withColumnRenamed("text", "decoded")
+    return docs.join(back, "doc_id").filter(F.coalesce("text", F.lit("")) != F.col("decoded")).select("doc_id")
+
+
+@query("p8_pack")
+def p8_pack(spark: SparkSession, d: str) -> DataFrame:
+    return packing.p8_pack(table(spark, d, "documents"), table(spark, d, "token_limits"), "pack")
+
+
+@query("p8_pack_long")
+def p8_pack_long(spark: SparkSession, d: str) -> DataFrame:
+    return packing.p8_pack(table(spark, d, "documents"), table(spark, d, "token_limits"), "pack_long")
+
+
+@query("p8_fill")
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    limits = table(spark, d, "token_limits")
+    capacity = limits.filter("task = 'pack'").first()["max_tokens"]
+    return packing.p8_fill(packing.p8_pack(table(spark, d, "documents"), limits, "pack"), capacity)
+
+
+@query("p9_pieces")
+def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.p9_pieces(table(spark, d, "documents"), table(spark, d, "token_limits"), "split")
+
+
+@query("p9_pieces_short")
+def p9_pieces_short(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.p9_pieces(table(spark, d, "documents"), table(spark, d, "token_limits"), "split_short")
