@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirelake.llm import neardup, packing, splitting, tokenizer
+from wirelake.llm import markup, neardup, packing, residue, splitting, tokenizer
 from wirelake.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,18 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 @query("p9_pieces_short")
 def p9_pieces_short(spark: SparkSession, d: str) -> DataFrame:
     return splitting.p9_pieces(table(spark, d, "documents"), table(spark, d, "token_limits"), "split_short")
+
+
+@query("p2_found")
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.p2_found(table(spark, d, "articles"), table(spark, d, "raw_items"))
+
+
+@query("p2_clean")
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    return markup.p2_clean(table(spark, d, "articles"), table(spark, d, "raw_items"))
+
+
+@query("p4_found")
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue.p4_found(table(spark, d, "articles"), table(spark, d, "raw_items"))
