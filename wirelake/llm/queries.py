@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirelake.llm import markup, neardup, packing, residue, splitting, tokenizer
+from wirelake.llm import language, markup, neardup, packing, residue, sitelines, splitting, tokenizer
 from wirelake.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,28 @@ def p2_clean(spark: SparkSession, d: str) -> DataFrame:
 @query("p4_found")
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.p4_found(table(spark, d, "articles"), table(spark, d, "raw_items"))
+
+
+@query("p5_found")
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.p5_found(table(spark, d, "articles"), table(spark, d, "lang_samples"))
+
+
+@query("p5_cases")
+def p5_cases(spark: SparkSession, d: str) -> DataFrame:
+    return language.p5_cases(table(spark, d, "articles"), table(spark, d, "lang_samples"))
+
+
+@query("p6_found", sitelines.P6_SQL)
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return sitelines.p6_found(table(spark, d, "articles"))
+
+
+@query("p6_clean")
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    return sitelines.p6_clean(table(spark, d, "articles"))
+
+
+@query("p6_sequences")
+def p6_sequences(spark: SparkSession, d: str) -> DataFrame:
+    return sitelines.sequences(table(spark, d, "articles"))

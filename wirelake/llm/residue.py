@@ -44,7 +44,7 @@ STAND_IN = re.compile(r"\[object Object\]|\(null\)|(?<![A-Za-z])(?:undefined|NaN
 MESSAGES = {
     "filler": r"""
 lorem ipsum .*|.*\b(?:dolor sit amet|consectetur adipiscing|vivamus sagittis|faucibus mollis|incididunt ut labore|quis nostrud)\b.*
-x{4,}(?:\s.*)?|(?:aaaa+ bbbb+ ?(?:cccc+)?)|(?:asdf\w*\s*)+|\d* ?(?:(?:teste|test|prueba|тест)[ ,.]*){3,}.*
+x{4,}(?:\s.*)?|aaaa+ bbbb+(?:\s.*)?|(?:asdf\w*\s*)+|\d* ?(?:(?:teste|test|prueba|тест)[ ,.]*){3,}.*
 (?:texto de exemplo|sample text|texto de muestra|texto de prueba|пример текста|placeholder)
 (?:legenda da foto ?){2,}|(?:pie de foto ?){2,}|(?:your caption goes here|aquí va el pie de foto|aqui vai a legenda)
 .*\b(?:substituir antes de publicar|sustituir antes de publicar|replace before publishing)
@@ -96,8 +96,18 @@ def fragments(text: str) -> list[str]:
     return out
 
 
+# The words of the usual filler text.
+FILLER_WORDS = frozenset(
+    "lorem ipsum dolor amet consectetur adipiscing elit eiusmod tempor incididunt labore dolore magna aliqua veniam nostrud ullamco laboris"
+    " vivamus sagittis lacus augue laoreet rutrum faucibus auctor maecenas mollis interdum nullam quis risus eget urna ornare".split()
+)
+
+
 def whole_label(fragment: str) -> str | None:
     """The trusted label of a fragment that is a known message as a whole."""
+    words = fragment.split()
+    if len(words) >= 3 and 2 * sum(w.strip(".,;") in FILLER_WORDS for w in words) >= len(words):
+        return "filler"
     for label, pat in _WHOLE.items():
         if pat.fullmatch(fragment):
             return label
