@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from wirelake.llm import markup, residue
 
-BUCKETS, DIM, EPOCHS, RATE, BATCH, STRENGTH = 1 << 15, 12, 8, 0.5, 64, 16
+BUCKETS, DIM, EPOCHS, RATE, BATCH, STRENGTH = 1 << 15, 12, 8, 0.25, 32, 8
 #: the most labelled rows that are read for training: clean samples, labelled articles
 TRAIN_LIMIT, ARTICLE_LIMIT = 20_000, 700
 REJECT_SHARE = 0.002
