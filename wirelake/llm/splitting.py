@@ -56,7 +56,7 @@ class Tree:
         self.words = tok.find(text)  # the pretokens tile the text
         self.at = [0, *accumulate(map(len, self.words))]
         self.sum = [0, *accumulate(map(tok.count_of.__getitem__, self.words))]
-        self._inside: dict[int, list[tuple[int, int]]] = {}
+        self._inside: dict[int, tuple[list[int], list[int]]] = {}
         self._heads: list[tuple[int, int]] | None = None
 
     @property
@@ -78,27 +78,29 @@ class Tree:
                     self._heads.append((m.start(), level))
         return self._heads
 
-    def inside(self, k: int) -> list[tuple[int, int]]:
-        """(character, tokens) at each token border of pretoken ``k`` that lies between characters."""
+    def inside(self, k: int) -> tuple[list[int], list[int]]:
+        """Characters, and tokens before them, at the borders of pretoken ``k`` that lie between characters."""
         if k not in self._inside:
             w = self.words[k]
             chars, n = {0: 0}, 0
             for i, c in enumerate(w):
                 n += len(c.encode("utf-8", "surrogatepass"))
                 chars[n] = i + 1
-            out, n = [], 0
+            at, before, n = [], [], 0
             for j, t in enumerate(self.tok.bpe.word(w)):
                 if n in chars:
-                    out.append((self.at[k] + chars[n], j))
+                    at.append(self.at[k] + chars[n])
+                    before.append(j)
                 n += self.tok.bpe.size[t]
-            self._inside[k] = out
+            self._inside[k] = at, before
         return self._inside[k]
 
     def tokens_to(self, pos: int) -> int:
         k = bisect_right(self.at, pos) - 1
         n = self.sum[k]
         if pos > self.at[k]:
-            n += max((t for c, t in self.inside(k) if c <= pos), default=0)
+            at, before = self.inside(k)
+            n += before[bisect_right(at, pos) - 1]
         return n
 
     def size(self, lo: int, hi: int) -> int:
@@ -119,7 +121,7 @@ class Tree:
             found = (m.start() if level == _WORDS else m.end() for m in _ENDS[level - _SECTIONS].finditer(self.text, lo, hi))
             return [p for p in found if lo < p < hi]
         a, b = bisect_right(self.at, lo) - 1, bisect_left(self.at, hi)
-        return sorted({c for k in range(a, b) for c, _ in self.inside(k) if lo < c < hi})
+        return [c for k in range(a, b) for c in self.inside(k)[0] if lo < c < hi]
 
     def pack(self, lo: int, hi: int, limit: int, level: int = 0) -> list[tuple[int, int]]:
         """Spans within the limit that cover lo to hi: subtrees merged bottom-up."""
@@ -165,7 +167,9 @@ class Tree:
         k = bisect_left(self.sum, want)
         best = self.at[k]
         if k and self.sum[k] > want:
-            best = min((c for c, t in self.inside(k - 1) if self.sum[k - 1] + t >= want), default=best)
+            at, before = self.inside(k - 1)
+            j = bisect_left(before, want - self.sum[k - 1])
+            best = at[j] if j < len(at) else best
         return min(pos, max(best, least))
 
 
