@@ -114,16 +114,32 @@ def whole_label(fragment: str) -> str | None:
     return None
 
 
+def bit_counts(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """How often each of the 64 bits is set in each run of ``h``; ``starts`` begin the runs.
+
+    Eight bits are counted at once in the bytes of a word, in pieces of at most 255.
+    """
+    n = np.diff(np.append(starts, len(h)))
+    pieces = -(-n // 255)
+    first = np.cumsum(pieces) - pieces
+    at = np.repeat(starts, pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(first, pieces))
+    ones = np.uint64(0x0101010101010101)
+    lanes = [np.add.reduceat((h >> np.uint64(i)) & ones, at).view(np.uint8).reshape(-1, 8) for i in range(8)]
+    counts = np.stack(lanes, axis=2).reshape(len(at), 64)
+    if len(at) == len(starts):
+        return counts.astype(np.int32)
+    return np.add.reduceat(counts, first, axis=0, dtype=np.int32)
+
+
 def simhash(texts: list[str]) -> np.ndarray:
     """64-bit SimHash of each text over its five-character shingles."""
     doc, h = shingle_hashes(texts, SHINGLE)
     out = np.zeros(len(texts), dtype=np.int64)
     if len(doc):
         starts = np.flatnonzero(np.diff(doc, prepend=-1))
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-        total = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
         n = np.diff(np.append(starts, len(doc)))
-        out[doc[starts]] = np.packbits(total * 2 > n[:, None], axis=1).view(np.int64).reshape(-1)
+        most = bit_counts(h, starts) * 2 > n[:, None]
+        out[doc[starts]] = np.packbits(most, axis=1, bitorder="little").view(np.int64).reshape(-1)
     return out
 
 
