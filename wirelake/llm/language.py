@@ -45,7 +45,14 @@ SAME_LANGUAGE = {"he": "iw", "heb": "iw", "por": "pt", "eng": "en", "spa": "es",
 _WORD = re.compile(r"[^\W\d_]+")
 _HAN = re.compile(r"[一-鿿㐀-䶿]")
 _SENTENCE = re.compile(r"(?<=[.!?…؟])[\"”’»)]*\s+|(?<=[。！？])[”’」』）]*\s*|\n+")
-_CODE = re.compile(r"(?s)```.*?(?:```|\Z)|\$\$.*?\$\$|\$[A-Za-z\\][^$\n]*\$|https?://\S+|(?<!\w)[\w.-]+@[\w.-]+|\b\w+_\w+(?:\.\w+)*")
+# what is no language: the sign that announces it, its pattern
+_CODE = [
+    ("`", re.compile(r"(?s)```.*?(?:```|\Z)")),
+    ("$", re.compile(r"(?s)\$\$.*?\$\$|\$[A-Za-z\\][^$\n]*\$")),
+    ("://", re.compile(r"https?://\S+")),
+    ("@", re.compile(r"(?<!\w)[\w.-]+@[\w.-]+")),
+    ("_", re.compile(r"\b\w+_\w+(?:\.\w+)*")),
+]
 
 
 def norm_code(label):
@@ -222,7 +229,10 @@ def units_of(title: str | None, snippet: str | None) -> list[str]:
     out = [title.strip() if title and title.strip() else ""]
     if snippet and snippet.strip():
         text = markup.clean(snippet, markup.kinds(snippet))
-        out += [s for s in _SENTENCE.split(_CODE.sub(" ", text)) if s and s.strip()]
+        for sign, pattern in _CODE:
+            if sign in text:
+                text = pattern.sub(" ", text)
+        out += [s for s in _SENTENCE.split(text) if s and s.strip()]
     return [u for u in out if u]
 
 
