@@ -65,23 +65,33 @@ def norm_sql(u: str) -> str:
 
 
 IN_WINDOW = f"epoch_us(published_at) >= {AS_OF_US - HOURS * 3_600_000_000}"
-KW = """k AS (SELECT lower(keyword) AS lk, min(keyword) AS sp, bool_or(match_type = 'exact') AS ex FROM keywords WHERE trim(keyword) <> '' GROUP BY 1),
-p AS (SELECT '(?i)(?:' || string_agg(regexp_escape(lk), '|' ORDER BY length(lk) DESC, lk) || ')' AS pat FROM k WHERE NOT ex),
-e AS (SELECT lk, sp, '(?i)(?:^|[^\\p{L}\\p{N}\\p{M}_])' || regexp_escape(lk) || '(?:$|[^\\p{L}\\p{N}\\p{M}_])' AS pat FROM k WHERE ex)""".replace("\\\\", "\\")
+#: the vocabulary of the queries with SQL; ``kw_match_table`` takes the table's
+KEYWORDS = ("Petróleo", "óleo cru", "gás natural", "gasoduto", "refinaria", "etanol", "biodiesel", "diesel", "leilão", "crude", "natural gas", "pipeline", "refinery", "petróleo crudo", "gasóleo", "нефт", "газопровод", "النفط", "الغاز", "原油", "天然气", "נפט", "הגז", "Petroleum", "posto", "poços", "pozos", "gas", "tanker", "LNG", "разведочных")
+EXACT = frozenset(("Petroleum", "diesel", "posto", "poços", "pozos", "gas", "tanker", "LNG", "разведочных"))
+CONFIG = MatchConfig(KEYWORDS, EXACT, HOURS)
+_SPELL = {}
+for _k in KEYWORDS:
+    _SPELL.setdefault(_k.lower(), _k)
+for _k in EXACT:
+    _SPELL.setdefault(_k.lower(), _k.lower())
+_ANYWHERE = sorted((k for k in _SPELL if k not in {e.lower() for e in EXACT}), key=lambda k: (-len(k), k))
+_PAT = "(?i)(?:" + "|".join(_ANYWHERE) + ")"
+_NAMES = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in _SPELL.items()) + "}"
 
 
 def hits_sql(src: str, key: str, txt: str) -> str:
     """Rows (key, keyword) of all hits in ``txt`` of ``src``."""
-    return f"""SELECT DISTINCT {key}, sp AS keyword FROM (SELECT {key}, unnest(regexp_extract_all({txt}, pat)) AS h FROM {src}, p) x JOIN k ON lower(h) = lk
-    UNION SELECT DISTINCT {key}, sp AS keyword FROM {src} JOIN e ON regexp_matches({txt}, pat)"""
+    word = r"[^\p{L}\p{N}\p{M}_]"
+    whole = " ".join(f"UNION SELECT {key}, '{_SPELL[e.lower()]}' FROM {src} WHERE regexp_matches({txt}, '(?i)(?:^|{word}){e}(?:$|{word})')" for e in sorted(EXACT))
+    return f"SELECT DISTINCT {key}, {_NAMES}[lower(h)] AS keyword FROM (SELECT {key}, unnest(regexp_extract_all({txt}, '{_PAT}')) AS h FROM {src}) x {whole}"
 
 
 def matcher_of(spark: SparkSession, d: str) -> match.Matcher:
-    return match.compile_matcher(match.config_from(table(spark, d, "keywords"), HOURS))
+    return match.compile_matcher(CONFIG)
 
 
 def run_config(spark: SparkSession, d: str, **more) -> RunConfig:
-    return RunConfig(match=match.config_from(table(spark, d, "keywords"), HOURS), languages=LANGUAGES, **more)
+    return RunConfig(match=CONFIG, languages=LANGUAGES, **more)
 
 
 # --- keywords -----------------------------------------------------------------
@@ -90,35 +100,41 @@ def kw_config_union(spark, d):
     return match.keyword_union(table(spark, d, "keywords"))
 
 
-@query("kw_match_title", f"WITH {KW} {hits_sql('raw_items', 'item_id', 'title')}")
+@query("kw_match_title", f"{hits_sql('raw_items', 'item_id', 'title')}")
 def kw_match_title(spark, d):
     return items(spark, d).select("item_id", F.explode(matcher_of(spark, d).hits(F.col("title"))).alias("keyword"))
 
 
-@query("kw_match_documents", f"WITH {KW} {hits_sql('documents', 'doc_id', 'text')}")
+@query("kw_match_documents", f"{hits_sql('documents', 'doc_id', 'text')}")
 def kw_match_documents(spark, d):
     return table(spark, d, "documents").select("doc_id", F.explode(matcher_of(spark, d).hits(F.col("text"))).alias("keyword"))
 
 
 @query(
     "kw_match_order",
-    f"""WITH {KW}, h AS (SELECT article_id, list_transform(regexp_extract_all(title, pat), lambda x: lower(x)) AS l FROM articles, p),
-    o AS (SELECT article_id, list_filter(l, lambda x, i: list_position(l, x) = i) AS l FROM h)
-    SELECT article_id, array_to_string(list_transform(l, lambda x: (SELECT map_from_entries(list((lk, sp))) FROM k)[x]), '|') AS hits FROM o""",
+    f"""WITH h AS (SELECT article_id, list_transform(regexp_extract_all(title, '{_PAT}'), lambda x: lower(x)) AS l FROM articles)
+    SELECT article_id, array_to_string(list_transform(list_filter(l, lambda x, i: list_position(l, x) = i), lambda x: {_NAMES}[x]), '|') AS hits FROM h""",
 )
 def kw_match_order(spark, d):
     m = matcher_of(spark, d)
     return table(spark, d, "articles").select("article_id", F.array_join(match.Matcher(m.substring, None, m.spelling).hits(F.col("title")), "|").alias("hits"))
 
 
+@query("kw_match_table")
+def kw_match_table(spark, d):
+    """All hits of the keyword table's terms in titles and summaries."""
+    m = match.compile_matcher(match.config_from(table(spark, d, "keywords"), HOURS))
+    return items(spark, d).select("item_id", F.explode(m.hits(F.concat_ws(" \n ", "title", "summary"))).alias("keyword"))
+
+
 NATIVE = {n: c for lang in LANGUAGES for n, c in lang.terms}
+_NATIVE_PAT = "(?i)(?:" + "|".join(sorted((n.lower() for n in NATIVE), key=lambda k: (-len(k), k))) + ")"
 _native_sql = "(VALUES " + ", ".join(f"('{n}', '{c}')" for n, c in NATIVE.items()) + ") AS v(term, concept)"
 
 
 @query(
     "kw_canonical",
-    f"""WITH p AS (SELECT '(?i)(?:' || string_agg(regexp_escape(term), '|' ORDER BY length(term) DESC, term) || ')' AS pat FROM {_native_sql})
-    SELECT DISTINCT item_id, concept FROM (SELECT item_id, unnest(regexp_extract_all(title, pat)) AS h FROM raw_items, p) x JOIN {_native_sql} ON lower(h) = term""",
+    f"""SELECT DISTINCT item_id, concept FROM (SELECT item_id, unnest(regexp_extract_all(title, '{_NATIVE_PAT}')) AS h FROM raw_items) x JOIN {_native_sql} ON lower(h) = term""",
 )
 def kw_canonical(spark, d):
     m = match.compile_matcher(MatchConfig(tuple(NATIVE)))
@@ -127,7 +143,7 @@ def kw_canonical(spark, d):
 
 @query(
     "kw_by_source",
-    f"WITH {KW}, h AS ({hits_sql('raw_items', 'item_id', 'title')}) SELECT source_domain, keyword, count(*) AS n FROM h JOIN raw_items USING (item_id) GROUP BY 1, 2",
+    f"WITH h AS ({hits_sql('raw_items', 'item_id', 'title')}) SELECT source_domain, keyword, count(*) AS n FROM h JOIN raw_items USING (item_id) GROUP BY 1, 2",
 )
 def kw_by_source(spark, d):
     hit = items(spark, d).select("source_domain", F.explode(matcher_of(spark, d).hits(F.col("title"))).alias("keyword"))
@@ -268,10 +284,15 @@ def text_clean_paragraphs(spark, d):
     return a.select("article_id", F.array_join(text.clean_paragraphs(F.split("snippet", "\n", -1)), "|").alias("paragraphs"))
 
 
-@query("text_strip_related", r"SELECT doc_id, CASE WHEN regexp_matches(t, m) THEN t[:strpos(t, regexp_extract(t, m)) - 1] ELSE t END AS kept FROM (SELECT doc_id, trim(regexp_replace(text, '<[^>]+>', ' ', 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160) || chr(8195) || chr(8201) || chr(12288) || chr(8239) || chr(8232) || chr(8233)) AS t, '(?i)\b(?:leia\s+tamb[eé]m|veja\s+tamb[eé]m|saiba\s+mais|leia\s+mais|veja\s+mais)\b' AS m FROM documents WHERE text IS NOT NULL AND text NOT ILIKE '%o post%' AND regexp_matches(text, '(?i)leia\s+mais|veja\s+mais|saiba\s+mais'))")
+@query(
+    "text_strip_related",
+    r"""SELECT item_id, CASE WHEN regexp_matches(t, m) THEN t[:strpos(t, regexp_extract(t, m)) - 1] ELSE t END AS kept
+    FROM (SELECT item_id, regexp_replace(regexp_replace(summary, '<[^>]+>', ' ', 'g'), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS t, '(?i)\b(?:leia\s+tamb[eé]m|veja\s+tamb[eé]m|saiba\s+mais|leia\s+mais|veja\s+mais)\b' AS m
+    FROM raw_items WHERE summary NOT ILIKE '%o post%' AND regexp_matches(summary, '(?i)leia\s+mais|veja\s+mais|saiba\s+mais'))""",
+)
 def text_strip_related(spark, d):
-    t = table(spark, d, "documents").filter(F.col("text").isNotNull() & ~F.col("text").ilike("%o post%") & F.col("text").rlike(r"(?i)leia\s+mais|veja\s+mais|saiba\s+mais"))
-    return t.select("doc_id", text.strip_related(F.col("text")).alias("kept"))
+    t = items(spark, d).filter(~F.col("summary").ilike("%o post%") & F.col("summary").rlike(r"(?i)leia\s+mais|veja\s+mais|saiba\s+mais"))
+    return t.select("item_id", text.strip_related(F.col("summary")).alias("kept"))
 
 
 @query("text_blank", r"SELECT article_id FROM articles WHERE regexp_replace(coalesce(snippet, ''), '[\s\p{Z}]+', '', 'g') = ''")
@@ -280,8 +301,7 @@ def text_blank(spark, d):
 
 
 # --- routing ------------------------------------------------------------------
-ROUTE = f"""{KW},
-i AS (SELECT *, {HINT} AS hint, coalesce(title, '') AS ti, coalesce(summary, '') AS su FROM raw_items
+ROUTE = f"""i AS (SELECT *, {HINT} AS hint, coalesce(title, '') AS ti, coalesce(summary, '') AS su FROM raw_items
   WHERE (published_at IS NULL OR {IN_WINDOW}) AND (published_at IS NOT NULL OR {HINT} IS NULL OR epoch_us({HINT}) >= {AS_OF_US - (HOURS + 24) * 3_600_000_000})),
 s AS (SELECT *, CASE WHEN strpos(lower(su), 'leia') + strpos(lower(su), 'mais') > 0 AND regexp_matches(x, mk) THEN x[:strpos(x, regexp_extract(x, mk)) - 1] ELSE x END AS sx FROM
   (SELECT *, regexp_replace(su, '<[^>]+>', ' ', 'g') AS x, '(?i)\\b(?:leia\\s+tamb[eé]m|veja\\s+tamb[eé]m|saiba\\s+mais|leia\\s+mais|veja\\s+mais|confira\\s+tamb[eé]m|mais\\s+not[ií]cias)\\b' AS mk,
@@ -432,7 +452,7 @@ def self_anti_dup_slug(spark, d):
 def _new_rows(spark, d):
     """Articles as a batch of pushed rows: dates as ISO where they are, ``article_id`` as order."""
     a = table(spark, d, "articles")
-    return a.withColumn("published_at", F.when(F.col("published_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ$"), F.col("published_at"))).withColumn("found_at", F.lit(0)).withColumn("seq", F.col("article_id"))
+    return a.withColumn("published_at", F.when(F.col("published_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\z"), F.col("published_at"))).withColumn("found_at", F.lit(0)).withColumn("seq", F.col("article_id"))
 
 
 NEW = r"new AS (SELECT * REPLACE (CASE WHEN regexp_matches(published_at, '^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ$') THEN published_at END AS published_at) FROM articles QUALIFY row_number() OVER (PARTITION BY url ORDER BY article_id DESC) = 1)"
@@ -549,9 +569,9 @@ def html_paragraphs(spark, d):
     return t.select("item_id", F.array_join(html.html_paragraphs("summary"), "|").alias("paragraphs"))
 
 
-@query("html_title", r"SELECT item_id, regexp_extract(summary, '(?s)<title>([^<]*)</title>', 1) AS title FROM raw_items WHERE regexp_matches(summary, '<title>[^<>&]+</title>') AND NOT regexp_matches(summary, '<h1>')")
+@query("html_title", r"SELECT item_id, trim(regexp_extract(summary, '(?s)<h1>([^<]*)</h1>', 1), ' ' || chr(10)) AS title FROM raw_items WHERE regexp_matches(summary, '<h1>[^<>&]+</h1>')")
 def html_title(spark, d):
-    t = items(spark, d).filter(F.col("summary").rlike("<title>[^<>&]+</title>") & ~F.col("summary").rlike("<h1>"))
+    t = items(spark, d).filter(F.col("summary").rlike("<h1>[^<>&]+</h1>"))
     return t.select("item_id", html.extract_page("summary", F.lit(None).cast("string"))["title"].alias("title"))
 
 
