@@ -13,7 +13,7 @@ n-gram bucket: a fixed table of ``BUCKETS`` x languages (about 2 MB), which is w
 the executors get.
 
 Defined results: NULL title and snippet count as empty; an article without any
-judged unit has no row; rows with a NULL id and repeated rows are kept.
+word has no row; without samples there is no language to tell and no row; rows with a NULL id and repeated rows are kept.
 """
 
 from __future__ import annotations
@@ -285,7 +285,10 @@ def label_segments(articles: DataFrame, samples: DataFrame) -> DataFrame:
     import pickle
 
     spark = articles.sparkSession
-    sent = spark.sparkContext.broadcast(pickle.dumps(train(widened(read_samples(samples), read_labelled(articles)))))
+    clean = read_samples(samples)
+    if not clean:
+        return spark.createDataFrame([], "article_id bigint, source_lang string, no int, n int, lang string, confidence double")
+    sent = spark.sparkContext.broadcast(pickle.dumps(train(widened(clean, read_labelled(articles)))))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _unpickled(sent.value)

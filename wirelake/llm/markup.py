@@ -13,7 +13,7 @@ What differencing can't do is tell markup from prose, so the kinds of markup com
 from the conversion's own patterns, over the whole raw text, shared lines too.
 
 Hosts are split by range partitions of (host, path), so no task holds a whole
-host; the first page of a partition pairs with the second.
+host; the first page of a host (or of a partition) pairs with the second.
 
 Defined results: NULL, empty and blank texts hold no markup and give empty clean
 text; a NULL or unreadable URL has the empty host and is ordered by its id;
@@ -127,7 +127,7 @@ _LATEX_TEXT = [
     (re.compile(r"\\href\{[^{}]*\}\{([^{}]*)\}"), r"\1"),
     (re.compile(r"~?\\(?:cite|label|ref|footnote)[pt]?\{[^{}]*\}"), ""),
     (re.compile(r"\\(?:begin|end)\{[^{}]*\}(?:\{[^{}]*\}|\[[^\]]*\])?"), "\n"),
-    (re.compile(r"[ \t]*\\item\b[ \t]*"), "\n- "),
+    (re.compile(r"\s*\\item\b[ \t]*"), "\n- "),
     (re.compile(r"(?m)^(.*&.*?)[ \t]*\\\\[ \t]*$"), lambda m: "| " + re.sub(r"\s*(?<!\\)&\s*", " | ", m[1].strip()) + " |"),
     (re.compile(r"\\[A-Za-z]+\*?\{([^{}]*)\}"), r"\1"),
     (re.compile(r"\\\\[ \t]*$", re.M), ""),
@@ -164,7 +164,7 @@ def clean(text: str | None, found: list[str]) -> str:
         return t
 
     if found:
-        t = _FENCED.sub(lambda m: "\n" + keep("```\n" + m[2].rstrip("\n") + "\n```") + "\n", t)
+        t = _FENCED.sub(lambda m: "\n" + keep("```\n" + m[2].rstrip("\n") + "\n```"), t)
         if "html" in found:
             t = _PRE.sub(lambda m: "\n" + keep("```\n" + html.unescape(_TAG.sub("", m[1])).strip("\n") + "\n```") + "\n", t)
             t = _from_html(t)
@@ -248,19 +248,19 @@ _OUT = pa.schema([("rec_table", pa.string()), ("rec_id", pa.int64()), ("kinds",
 
 def _difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by host and path: kinds, clean text, lines shared with the neighbour."""
-    held = None  # the first page, which waits for the second
+    held = None  # the first page of a host, which waits for the second
     before = None
     for b in batches:
         rows = []
         for host, path, tab, rid, text in zip(*(c.to_pylist() for c in b.columns)):
             ks = kinds(text)
             page = (host, path, tab, rid, ks, clean(text, ks).split("\n"))
-            if before is None:
+            if held is not None:
+                rows.append(_finish(held, page))
+                held = None
+            if before is None or before[0] != host:
                 held = page
             else:
-                if held is not None:
-                    rows.append(_finish(held, page))
-                    held = None
                 rows.append(_finish(page, before))
             # the neighbour stays the nearest page with another path
             if before is None or (host, path) != before[:2]:

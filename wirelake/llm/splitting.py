@@ -163,6 +163,8 @@ class Tree:
 
     def back(self, pos: int, tokens: int, least: int) -> int:
         """The position up to ``tokens`` tokens before ``pos``, not before ``least``."""
+        if tokens <= 0:
+            return pos
         want = self.tokens_to(pos) - tokens
         k = bisect_left(self.sum, want)
         best = self.at[k]
