@@ -1,7 +1,8 @@
 """Language of documents and of their segments (problem 5).
 
-A sentence is the average of the embeddings of its words' hashed character
-n-grams, followed by a linear softmax; embeddings and weights are trained together
+A word is the average of the embeddings of its hashed character n-grams, a sentence
+the average of its words, so that short function words count as much as long ones;
+a linear softmax follows; embeddings and weights are trained together
 by stochastic gradient descent in numpy on at most ``TRAIN_LIMIT`` labelled
 samples. A temperature is fitted on held-out samples, and the confidence below
 which a unit is rejected is set so that ``REJECT_SHARE`` of the held-out ones fall
@@ -85,7 +86,7 @@ class Model:
     def __init__(self, langs: list[str], table: np.ndarray, bias: np.ndarray, temperature: float = 1.0, reject: float = 0.0):
         self.langs, self.table, self.bias, self.temperature, self.reject = langs, table, bias, temperature, reject
         self.row: dict[str, int] = {}
-        self.sums = np.zeros((1024, len(langs) + 1), dtype=np.float32)
+        self.sums = np.zeros((1024, len(langs)), dtype=np.float32)
 
     def __getstate__(self):
         return self.langs, self.table, self.bias, self.temperature, self.reject
@@ -94,7 +95,7 @@ class Model:
         self.__init__(*s)
 
     def index(self, word: str) -> int:
-        """The place of a word's summed logits (and number of n-grams) in ``sums``."""
+        """The place of a word's logits in ``sums``."""
         i = self.row.get(word)
         if i is None:
             if len(self.row) >= 400_000:
@@ -103,8 +104,7 @@ class Model:
             if i >= len(self.sums):
                 self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
             b = buckets_of(word)
-            self.sums[i, :-1] = self.table[b].sum(axis=0)
-            self.sums[i, -1] = len(b)
+            self.sums[i] = self.table[b].mean(axis=0)
         return i
 
     def probabilities(self, units: list[list[str]]) -> np.ndarray:
@@ -117,14 +117,17 @@ class Model:
                 self.row.clear()
             idx = [self.index(w) for u in units for w in u]
             total = np.add.reduceat(self.sums[idx], np.cumsum(n[some]) - n[some], axis=0)
-            z = (total[:, :-1] / total[:, -1:] + self.bias) / self.temperature
+            z = (total / n[some, None] + self.bias) / self.temperature
             e = np.exp(z - z.max(axis=1, keepdims=True))
             out[some] = e / e.sum(axis=1, keepdims=True)
         return out
 
 
-def _sgd(samples: list[tuple[list[int], int]], k: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Embeddings, weights and bias after ``EPOCHS`` passes in batches of ``BATCH``."""
+def _sgd(samples: list[tuple[np.ndarray, np.ndarray, int]], k: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embeddings, weights and bias after ``EPOCHS`` passes in batches of ``BATCH``.
+
+    A sample is its n-gram buckets, their shares of the sentence, and the language.
+    """
     emb = rng.uniform(-1, 1, (BUCKETS, DIM)).astype(np.float32) / DIM
     w, bias = np.zeros((DIM, k), dtype=np.float32), np.zeros(k, dtype=np.float32)
     batches = -(-len(samples) // BATCH)
@@ -135,18 +138,19 @@ def _sgd(samples: list[tuple[list[int], int]], k: int, rng: np.random.Generator)
             rate = RATE * (1 - (epoch * batches + j) / (EPOCHS * batches))
             n = np.array([len(samples[i][0]) for i in which])
             idx = np.concatenate([samples[i][0] for i in which])
-            x = np.add.reduceat(emb[idx], np.cumsum(n) - n, axis=0) / n[:, None].astype(np.float32)
+            share = np.concatenate([samples[i][1] for i in which])
+            x = np.add.reduceat(emb[idx] * share[:, None], np.cumsum(n) - n, axis=0)
             z = x @ w + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(which)), [samples[i][1] for i in which]] -= 1
-            grad = (p @ w.T) / n[:, None]
+            p[np.arange(len(which)), [samples[i][2] for i in which]] -= 1
+            grad = p @ w.T
             w -= rate * (x.T @ p + 1e-4 * w)
             bias -= rate * p.mean(axis=0)
             touched, at = np.unique(idx, return_inverse=True)
             spread = np.repeat(np.arange(len(which)), n)
             for d in range(DIM):
-                emb[touched, d] -= rate * STRENGTH * np.bincount(at, weights=grad[spread, d], minlength=len(touched))
+                emb[touched, d] -= rate * STRENGTH * np.bincount(at, weights=grad[spread, d] * share, minlength=len(touched))
     return emb, w, bias
 
 
@@ -165,16 +169,17 @@ def train(rows: list[tuple[str, str]], seed: int = SEED, calibrated: bool = True
     order = rng.permutation(len(rows))
     held, used = order[: len(rows) // 5], order[len(rows) // 5 :]
 
-    def samples(which: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    def samples(which: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, int]]:
         out = []
         for i in which:
             lang, text = rows[i]
             ws, y = words_of(text), langs.index(lang)
             half = len(ws) // 2
             for part in (ws, ws[:half], ws[half:], words_of(plain(text)) if i % 2 else []):
-                b = [x for w in part for x in buckets_of(w)]
+                b = [buckets_of(w) for w in part]
                 if b:
-                    out.append((np.array(b), y))
+                    share = [1 / (len(x) * len(b)) for x in b for _ in x]
+                    out.append((np.array([i for x in b for i in x]), np.array(share, dtype=np.float32), y))
         return out
 
     def fit(which: np.ndarray) -> Model:
