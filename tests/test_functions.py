@@ -88,3 +88,22 @@ def test_canonical_and_union(spark):
     assert match.config_from(kw.limit(0)).keywords
     with pytest.raises(ValueError):
         match.config_from(kw, limit=1)
+
+
+def test_small_helpers(spark, tmp_path):
+    from wirelake.config import FALLBACK_KEYWORDS
+    from wirelake.sources import tables
+
+    assert match.provenance(MatchConfig(FALLBACK_KEYWORDS)) == "FALLBACK" and match.provenance(MatchConfig(("x",))) == "LIVE"
+    df = spark.createDataFrame([(200, "Bem-vindo"), (403, ""), (200, "Faça seu LOGIN"), (None, None)], "s int, b string")
+    assert [r[0] for r in df.select(text.looks_logged_out(F.col("s"), F.col("b"), ("seu login",))).collect()] == [False, True, True, False]
+    spark.createDataFrame([("a",)], "keyword string").write.parquet(str(tmp_path / "k"))
+    got = tables.read_keywords(spark, str(tmp_path / "none"), str(tmp_path / "k"))
+    assert [tuple(r) for r in got.collect()] == [("a", "substring")] and tables.read_keywords(spark).count() == 0
+    rows = spark.createDataFrame([("u", "d", "2026-01-02", " "), ("v", "e", "2026-01-03", None), ("w", "d", "2025-01-03", ""), ("x", "d", "2026-01-04", "t")], "url string, domain string, published_at string, snippet string").withColumn("published_at", F.col("published_at").cast("timestamp"))
+    since = F.lit("2026-01-01").cast("timestamp")
+    assert [r.url for r in tables.empty_rows(rows, since).collect()] == ["v", "u"]
+    assert [r.url for r in tables.empty_rows(rows, since, "d", 5).collect()] == ["u"]
+    assert [r.url for r in tables.lookup(rows, rows.filter("url = 'x'"), "snippet").collect()] == ["x"]
+    raw = spark.createDataFrame([(bytearray("ação".encode("latin-1")), "ISO-8859-1"), (bytearray("ação".encode()), None)], "b binary, c string")
+    assert [r[0] for r in raw.select(text.decode_bytes(F.col("b"), F.col("c"))).collect()] == ["ação", "ação"]

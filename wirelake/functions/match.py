@@ -87,3 +87,8 @@ def config_from(keywords: DataFrame, window_hours: int = 24, limit: int = 10_000
 def widened(config: MatchConfig, terms: list[str]) -> MatchConfig:
     """With further substring terms (the native terms of the search languages)."""
     return MatchConfig(tuple(dict.fromkeys([*config.keywords, *terms])), config.exact, config.window_hours)
+
+
+def provenance(config: MatchConfig) -> str:
+    """Whether a configuration's terms are live ones or the fallback."""
+    return "FALLBACK" if set(config.keywords) == set(FALLBACK_KEYWORDS) else "LIVE"

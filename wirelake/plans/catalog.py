@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from wirelake.config import LANGUAGES, MatchConfig, RunConfig
 from wirelake.functions import dates, html, match, text, urls
-from wirelake.operators import dedupe, enrich, fair, health, merge, route, timestamps, translate
+from wirelake.operators import chunking, dedupe, enrich, fair, health, merge, route, timestamps, translate
 from wirelake.plans import pipeline
 from wirelake.session import table
-from wirelake.sources import feeds, search
+from wirelake.sources import feeds, search, tables
 from wirelake.streaming import stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -610,6 +610,45 @@ def translate_stage(spark, d):
     return translate.translate(one, lambda t, lang: "EN:" + t, done, 40).select("url", "title_original", "title_en")
 
 
+@query("foreign_rows", "SELECT article_id FROM articles WHERE source_lang IS NOT NULL AND trim(source_lang) <> '' AND lower(source_lang) NOT IN ('en', 'pt')")
+def foreign_rows(spark, d):
+    return table(spark, d, "articles").filter(translate.is_foreign(F.col("source_lang"))).select("article_id")
+
+
+@query("lookup_snippets", "SELECT url, snippet FROM stored_articles WHERE url IN (SELECT url FROM raw_items)")
+def lookup_snippets(spark, d):
+    return tables.lookup(table(spark, d, "stored_articles"), items(spark, d), "snippet")
+
+
+@query("url_chunks")
+def url_chunks(spark, d):
+    return chunking.chunk_urls(table(spark, d, "stored_articles")).select("url", "part", "chunk")
+
+
+@query("lede_rescue_stage")
+def lede_rescue_stage(spark, d):
+    near = routed(spark, d).filter("route = 'lede'")
+    pages = table(spark, d, "articles").groupBy("url").agg(F.max(F.concat(F.lit("<article><p>"), F.replace(F.coalesce("snippet", F.lit("")), F.lit("\n"), F.lit("</p><p>")), F.lit("</p></article>"))).alias("html"))
+    cfg = run_config(spark, d)
+    got = enrich.lede_rescue(enrich.resolve_wrappers(near, None, cfg.wrapper_prefix), pages, None, matcher_of(spark, d), cfg)
+    return got.select("item_id", F.array_join("matched", "|").alias("keywords"))
+
+
+_terms_sql = "(VALUES " + ", ".join(f"('{lang.code}', '{t}', {i})" for lang in LANGUAGES for i, (t, _) in enumerate(lang.terms)) + ") AS v(lang, term, priority)"
+
+
+@query(
+    "search_language_terms",
+    f"""WITH live AS (SELECT lower(keyword) AS k, max(keyword) AS keyword FROM keywords GROUP BY 1), every AS (SELECT list(keyword ORDER BY keyword) AS l FROM live),
+    own AS (SELECT lang, list(keyword ORDER BY priority)[:12] AS l FROM {_terms_sql} JOIN live ON lower(term) = k GROUP BY lang)
+    SELECT x.lang, array_to_string(coalesce(own.l, every.l), '|') AS terms FROM (SELECT DISTINCT lang FROM {_terms_sql}) x LEFT JOIN own ON own.lang = x.lang, every""",
+)
+def search_language_terms(spark, d):
+    pr = spark.createDataFrame([(lang.code, t, i) for lang in LANGUAGES for i, (t, _) in enumerate(lang.terms)], "lang string, term string, priority int")
+    t = search.terms_by_language(match.keyword_union(table(spark, d, "keywords")), pr)
+    return t.select("lang", F.array_join("terms", "|").alias("terms"))
+
+
 # --- streams ------------------------------------------------------------------
 @query("stream_dedupe", f"SELECT DISTINCT {norm_sql('url')} AS url_key FROM raw_items")
 def stream_dedupe(spark, d):

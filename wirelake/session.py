@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIR: dict[str, str] = {}
+_FOLDERS: set[str] = set()
 
 
 def build(app: str = "wirelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -44,6 +45,22 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _LOCAL_DIR[app]
 
 
+def _files(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder in the shared one; it goes when the driver ends."""
+    path = f"{shared_dir(spark)}/wirelake-{spark.sparkContext.applicationId}"
+    if path not in _FOLDERS:
+        fs, p = _files(spark, path)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        _FOLDERS.add(path)
+    return path
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -51,9 +68,19 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     costs a re-read and never a recomputation of the steps before.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/wirelake-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a cut point that nothing will read again."""
+    path = getattr(df, "_written_to", None)
+    if path:
+        fs, p = _files(df.sparkSession, path)
+        fs.delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

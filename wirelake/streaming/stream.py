@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wirelake.functions import dates, urls
 from wirelake.operators import merge as m
 from wirelake.operators.dedupe import last_by_key
-from wirelake.session import shared_dir
+from wirelake.session import run_folder
 
 
 def read_items(spark: SparkSession, path: str, per_batch: int | None = None) -> DataFrame:
@@ -91,7 +91,7 @@ def run_every(stream: DataFrame, write: Callable[[DataFrame, int], None], folder
 def to_table(stream: DataFrame, keys: list[str], time: str | None = None, mode: str = "append") -> DataFrame:
     """Runs the stream to its present end and gives the keyed table."""
     spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/wirelake-{spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}"
+    base = f"{run_folder(spark)}/stream-{uuid.uuid4().hex}"
     run_now(stream, upsert(base + "/table", keys, replace_by_key(keys, time)), base + "/offsets", mode)
     found = m.newest_version(spark, base + "/table")
     return spark.read.parquet(found[1]) if found else spark.createDataFrame([], stream.schema)
