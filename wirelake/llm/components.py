@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wirelake.session import materialize
+from wirelake.session import discard, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,7 +35,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     cur = materialize(edges.select("a", "b").filter("a <> b").distinct(), "cc")
     before = None
     for _ in range(max_rounds):
-        cur = materialize(_star(_star(cur, True), False), "cc")
+        last, cur = cur, materialize(_star(_star(cur, True), False), "cc")
+        discard(last)
         state = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64(F.greatest("a", "b"), F.least("a", "b")).cast("decimal(38,0)"))).first()
         if state == before:
             break

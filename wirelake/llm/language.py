@@ -224,9 +224,18 @@ def read_samples(samples: DataFrame) -> list[tuple[str, str]]:
 
 
 def read_labelled(articles: DataFrame) -> list[tuple[str, str, str]]:
-    """At most ``ARTICLE_LIMIT`` articles with a stated language, by the hash of their id."""
-    some = articles.select(norm_code(F.col("source_lang")).alias("lang"), "title", "snippet", "article_id").filter("lang <> '' and snippet is not null")
-    return [(r["lang"], r["title"], r["snippet"]) for r in some.orderBy(F.xxhash64("article_id")).limit(ARTICLE_LIMIT).collect()]
+    """``ARTICLE_LIMIT`` articles with a stated language: those with the lowest hashes of their ids.
+
+    The bound is found on the hashes alone, so whole rows leave the executors only
+    for the articles that are taken.
+    """
+    h = F.xxhash64("article_id")
+    some = articles.filter(norm_code(F.col("source_lang")) != "")
+    bound = some.select(h.alias("h")).orderBy("h").limit(ARTICLE_LIMIT).agg(F.max("h")).first()[0]
+    if bound is None:
+        return []
+    rows = some.filter(h <= bound).select(norm_code(F.col("source_lang")).alias("lang"), "title", "snippet").limit(ARTICLE_LIMIT).collect()
+    return [(r["lang"], r["title"], r["snippet"]) for r in rows]
 
 
 def units_of(title: str | None, snippet: str | None) -> list[str]:
