@@ -242,10 +242,9 @@ def p3_found(spark, d):
 
 
 # --- text ---------------------------------------------------------------------
-@query("text_strip_tags", r"SELECT item_id, trim(regexp_replace(summary, '<[^>]+>', ' ', 'g')) AS plain FROM raw_items WHERE summary IS NOT NULL AND NOT regexp_matches(summary, '[^ -~\x{A1}-\x{24F}]')")
+@query("text_strip_tags", r"SELECT item_id, trim(regexp_replace(summary, '<[^>]+>', ' ', 'g')) AS plain FROM raw_items WHERE summary IS NOT NULL")
 def text_strip_tags(spark, d):
-    t = items(spark, d).filter(F.col("summary").isNotNull() & ~F.col("summary").rlike(r"[^ -~\x{A1}-\x{24F}]"))
-    return t.select("item_id", F.trim(text.strip_tags(F.col("summary"))).alias("plain"))
+    return items(spark, d).filter("summary is not null").select("item_id", F.trim(text.strip_tags(F.col("summary"))).alias("plain"))
 
 
 _trunc = """CASE WHEN length(t) <= 360 THEN t ELSE regexp_replace(CASE WHEN strpos(t[:360], ' ') > 0 AND 360 - strpos(reverse(t[:360]), ' ') > 216 THEN t[:360 - strpos(reverse(t[:360]), ' ')] ELSE t[:360] END, '[ ,;:.\\-]+$', '') || '...' END""".replace("\\\\", "\\")
@@ -284,15 +283,18 @@ def text_clean_paragraphs(spark, d):
     return a.select("article_id", F.array_join(text.clean_paragraphs(F.split("snippet", "\n", -1)), "|").alias("paragraphs"))
 
 
+_STRIP = r"'^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'"
+_FOOT = (text.FOOTER_HTML.replace("(?iu)", "(?i)"), text.FOOTER_PLAIN.replace("(?ius)", "(?is)"), text.RELATED.replace("(?iu)", "(?i)"))
+
+
 @query(
     "text_strip_related",
-    r"""SELECT item_id, CASE WHEN regexp_matches(t, m) THEN t[:strpos(t, regexp_extract(t, m)) - 1] ELSE t END AS kept
-    FROM (SELECT item_id, regexp_replace(regexp_replace(summary, '<[^>]+>', ' ', 'g'), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS t, '(?i)\b(?:leia\s+tamb[eé]m|veja\s+tamb[eé]m|saiba\s+mais|leia\s+mais|veja\s+mais)\b' AS m
-    FROM raw_items WHERE summary NOT ILIKE '%o post%' AND regexp_matches(summary, '(?i)leia\s+mais|veja\s+mais|saiba\s+mais'))""",
+    f"""WITH f AS (SELECT item_id, summary AS s, regexp_replace(summary, '{_FOOT[0]}', ' ', 'g') AS c FROM raw_items WHERE summary IS NOT NULL),
+    t AS (SELECT item_id, CASE WHEN c <> s THEN regexp_replace(c, {_STRIP}) ELSE regexp_replace(regexp_replace(regexp_replace(s, '<[^>]+>', ' ', 'g'), '{_FOOT[1]}', ' ', 'g'), {_STRIP}) END AS t FROM f)
+    SELECT item_id, CASE WHEN regexp_matches(t, '{_FOOT[2]}') THEN t[:strpos(t, regexp_extract(t, '{_FOOT[2]}')) - 1] ELSE t END AS kept FROM t""",
 )
 def text_strip_related(spark, d):
-    t = items(spark, d).filter(~F.col("summary").ilike("%o post%") & F.col("summary").rlike(r"(?i)leia\s+mais|veja\s+mais|saiba\s+mais"))
-    return t.select("item_id", text.strip_related(F.col("summary")).alias("kept"))
+    return items(spark, d).filter("summary is not null").select("item_id", text.strip_related(F.col("summary")).alias("kept"))
 
 
 @query("text_blank", r"SELECT article_id FROM articles WHERE regexp_replace(coalesce(snippet, ''), '[\s\p{Z}]+', '', 'g') = ''")
