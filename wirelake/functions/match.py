@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 from wirelake.config import FALLBACK_KEYWORDS, MatchConfig
 
 
-def _quoted(terms: list[str]) -> str:
-    return "|".join(r"\Q" + t.replace(r"\E", "") + r"\E" for t in terms)
+def _pattern(terms: list[str]) -> tuple[str, str]:
+    """Alternation of literals behind a look at the first letter, which rejects most places at once."""
+    first = "".join(f"\\x{{{ord(c):x}}}" for c in sorted({t[0] for t in terms}))
+    return f"(?=[{first}])", "(?:" + "|".join(r"\Q" + t.replace(r"\E", "") + r"\E" for t in terms) + ")"
 
 
 @dataclass(frozen=True)
 class Matcher:
+    """Patterns over lower-case text, and the spelling of each term."""
+
     substring: str | None
     exact: str | None
     spelling: tuple[tuple[str, str], ...]
@@ -28,26 +32,30 @@ class Matcher:
     def hits(self, text: Column) -> Column:
         """The registered spellings of all hits in order; empty for NULL or blank text."""
         empty = F.array().cast("array<string>")
-        parts = [F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in (self.substring, self.exact) if p]
+        low = F.lower(text)
+        parts = [F.regexp_extract_all(low, F.lit(p), F.lit(0)) for p in (self.substring, self.exact) if p]
         if not parts:
             return empty
         names = F.create_map(*[F.lit(x) for kv in self.spelling for x in kv])
-        found = F.transform(F.concat(*parts), lambda h: F.coalesce(F.try_element_at(names, F.lower(h)), h))
+        found = F.transform(F.concat(*parts), lambda h: F.coalesce(F.try_element_at(names, h), h))
         return F.coalesce(F.array_distinct(found), empty)
 
 
 def compile_matcher(config: MatchConfig) -> Matcher:
-    """Deduplicated by lower case (the first spelling stays), longest first."""
+    """Deduplicated by lower case (the first spelling stays), longest first.
+
+    An exact term that isn't among the keywords is matched too, in its own spelling.
+    """
     spelling: dict[str, str] = {}
-    for k in config.keywords:
+    for k in (*config.keywords, *sorted(config.exact)):
         if k.strip():
             spelling.setdefault(k.lower(), k)
     exact = {e.lower() for e in config.exact if e.strip()}
-    anywhere = sorted((k for k in spelling if k not in exact), key=lambda k: (-len(k), k))
-    whole = sorted(exact, key=lambda k: (-len(k), k))
+    order = lambda k: (-len(k), k)
+    anywhere, whole = sorted((k for k in spelling if k not in exact), key=order), sorted(exact, key=order)
     return Matcher(
-        f"(?iu)(?:{_quoted(anywhere)})" if anywhere else None,
-        rf"(?iuU)\b(?:{_quoted(whole)})\b" if whole else None,
+        "".join(_pattern(anywhere)) if anywhere else None,
+        r"(?U){}\b{}\b".format(*_pattern(whole)) if whole else None,
         tuple(spelling.items()),
     )
 
