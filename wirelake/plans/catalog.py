@@ -65,7 +65,7 @@ def norm_sql(u: str) -> str:
 
 
 IN_WINDOW = f"epoch_us(published_at) >= {AS_OF_US - HOURS * 3_600_000_000}"
-#: the vocabulary of the queries with SQL; ``kw_match_table`` takes the table's
+#: the vocabulary that the SQL states; queries without SQL take the keyword table's
 KEYWORDS = ("Petróleo", "óleo cru", "gás natural", "gasoduto", "refinaria", "etanol", "biodiesel", "diesel", "leilão", "crude", "natural gas", "pipeline", "refinery", "petróleo crudo", "gasóleo", "нефт", "газопровод", "النفط", "الغاز", "原油", "天然气", "נפט", "הגז", "Petroleum", "posto", "poços", "pozos", "gas", "tanker", "LNG", "разведочных")
 EXACT = frozenset(("Petroleum", "diesel", "posto", "poços", "pozos", "gas", "tanker", "LNG", "разведочных"))
 CONFIG = MatchConfig(KEYWORDS, EXACT, HOURS)
@@ -86,12 +86,17 @@ def hits_sql(src: str, key: str, txt: str) -> str:
     return f"SELECT DISTINCT {key}, {_NAMES}[lower(h)] AS keyword FROM (SELECT {key}, unnest(regexp_extract_all({txt}, '{_PAT}')) AS h FROM {src}) x {whole}"
 
 
-def matcher_of(spark: SparkSession, d: str) -> match.Matcher:
+def sql_matcher() -> match.Matcher:
+    """The matcher of the queries with SQL."""
     return match.compile_matcher(CONFIG)
 
 
+def table_config(spark: SparkSession, d: str) -> MatchConfig:
+    return match.config_from(table(spark, d, "keywords"), HOURS)
+
+
 def run_config(spark: SparkSession, d: str, **more) -> RunConfig:
-    return RunConfig(match=CONFIG, languages=LANGUAGES, **more)
+    return RunConfig(match=table_config(spark, d), languages=LANGUAGES, **more)
 
 
 # --- keywords -----------------------------------------------------------------
@@ -102,12 +107,12 @@ def kw_config_union(spark, d):
 
 @query("kw_match_title", f"{hits_sql('raw_items', 'item_id', 'title')}")
 def kw_match_title(spark, d):
-    return items(spark, d).select("item_id", F.explode(matcher_of(spark, d).hits(F.col("title"))).alias("keyword"))
+    return items(spark, d).select("item_id", F.explode(sql_matcher().hits(F.col("title"))).alias("keyword"))
 
 
 @query("kw_match_documents", f"{hits_sql('documents', 'doc_id', 'text')}")
 def kw_match_documents(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.explode(matcher_of(spark, d).hits(F.col("text"))).alias("keyword"))
+    return table(spark, d, "documents").select("doc_id", F.explode(sql_matcher().hits(F.col("text"))).alias("keyword"))
 
 
 @query(
@@ -116,14 +121,14 @@ def kw_match_documents(spark, d):
     SELECT article_id, array_to_string(list_transform(list_filter(l, lambda x, i: list_position(l, x) = i), lambda x: {_NAMES}[x]), '|') AS hits FROM h""",
 )
 def kw_match_order(spark, d):
-    m = matcher_of(spark, d)
+    m = sql_matcher()
     return table(spark, d, "articles").select("article_id", F.array_join(match.Matcher(m.substring, None, m.spelling).hits(F.col("title")), "|").alias("hits"))
 
 
 @query("kw_match_table")
 def kw_match_table(spark, d):
     """All hits of the keyword table's terms in titles and summaries."""
-    m = match.compile_matcher(match.config_from(table(spark, d, "keywords"), HOURS))
+    m = match.compile_matcher(table_config(spark, d))
     return items(spark, d).select("item_id", F.explode(m.hits(F.concat_ws(" \n ", "title", "summary"))).alias("keyword"))
 
 
@@ -146,7 +151,7 @@ def kw_canonical(spark, d):
     f"WITH h AS ({hits_sql('raw_items', 'item_id', 'title')}) SELECT source_domain, keyword, count(*) AS n FROM h JOIN raw_items USING (item_id) GROUP BY 1, 2",
 )
 def kw_by_source(spark, d):
-    hit = items(spark, d).select("source_domain", F.explode(matcher_of(spark, d).hits(F.col("title"))).alias("keyword"))
+    hit = items(spark, d).select("source_domain", F.explode(sql_matcher().hits(F.col("title"))).alias("keyword"))
     return hit.groupBy("source_domain", "keyword").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -316,7 +321,13 @@ r AS (SELECT s.*, CASE WHEN ti = '' AND su = '' THEN CASE WHEN item_id IN (FROM
 
 
 def routed(spark, d):
-    return route.route(items(spark, d), matcher_of(spark, d), run_config(spark, d), as_of())
+    """Routed as the SQL states: its vocabulary and its hints."""
+    return route.route(items(spark, d), sql_matcher(), RunConfig(match=CONFIG, languages=LANGUAGES), as_of())
+
+
+def routed_by_table(spark, d, cfg: RunConfig):
+    """Routed by the terms of the keyword table."""
+    return route.route(items(spark, d), match.compile_matcher(cfg.match), cfg, as_of())
 
 
 @query("route_items", f"WITH {ROUTE} SELECT item_id, route FROM r WHERE route IS NOT NULL")
@@ -339,9 +350,9 @@ def source_yield_profile(spark, d):
 def validate_articles(spark, d):
     """Routed items judged with the feed's own summary as snippet."""
     cfg = run_config(spark, d)
-    e = routed(spark, d).filter("route <> 'lede'").withColumn("snippet", text.snippet_from_text(html.html_text("summary")))
+    e = routed_by_table(spark, d, cfg).filter("route <> 'lede'").withColumn("snippet", text.snippet_from_text(html.html_text("summary")))
     e = e.withColumn("published", F.col("published_at")).withColumn("resolved_url", F.col("url")).withColumn("resolved_domain", F.col("source_domain")).withColumn("ext_title", F.lit(None).cast("string"))
-    v = route.validate(e, matcher_of(spark, d), cfg, as_of(), NATIVE, table(spark, d, "source_registry"))
+    v = route.validate(e, match.compile_matcher(cfg.match), cfg, as_of(), NATIVE, table(spark, d, "source_registry"))
     return v.select("url", "source_name", "title", "seq", F.unix_micros("published_at").alias("published_us"), F.array_join("matched_keywords", "|").alias("keywords"), "published_is_approx", "drop_reason")
 
 
@@ -629,10 +640,10 @@ def url_chunks(spark, d):
 
 @query("lede_rescue_stage")
 def lede_rescue_stage(spark, d):
-    near = routed(spark, d).filter("route = 'lede'")
-    pages = table(spark, d, "articles").groupBy("url").agg(F.max(F.concat(F.lit("<article><p>"), F.replace(F.coalesce("snippet", F.lit("")), F.lit("\n"), F.lit("</p><p>")), F.lit("</p></article>"))).alias("html"))
     cfg = run_config(spark, d)
-    got = enrich.lede_rescue(enrich.resolve_wrappers(near, None, cfg.wrapper_prefix), pages, None, matcher_of(spark, d), cfg)
+    near = routed_by_table(spark, d, cfg).filter("route = 'lede'")
+    pages = table(spark, d, "articles").groupBy("url").agg(F.max(F.concat(F.lit("<article><p>"), F.replace(F.coalesce("snippet", F.lit("")), F.lit("\n"), F.lit("</p><p>")), F.lit("</p></article>"))).alias("html"))
+    got = enrich.lede_rescue(enrich.resolve_wrappers(near, None, cfg.wrapper_prefix), pages, None, match.compile_matcher(cfg.match), cfg)
     return got.select("item_id", F.array_join("matched", "|").alias("keywords"))
 
 
