@@ -48,6 +48,21 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     return t.withColumn("hint_text", F.col("published_hint")).withColumn("published_hint", F.to_timestamp(F.try_to_timestamp(F.regexp_extract(F.coalesce("published_hint", F.lit("")), r"^\s*(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd"))))
 
 
+def dated_items(spark: SparkSession, d: str) -> DataFrame:
+    """``items`` with the day of every hint that names one, in whatever form it is written.
+
+    ISO days stay as written; other forms are read by the timestamp resolver and cut to
+    the day in the zone of the site.
+    """
+    t, registry = items(spark, d), table(spark, d, "source_registry")
+    values = t.select(F.lit("raw_items").alias("rec_table"), F.col("item_id").cast("bigint").alias("rec_id"), F.lit("published_hint").alias("rec_field"), F.col("source_domain").alias("src"), F.col("hint_text").alias("val"))
+    read = timestamps.resolve(values, registry).filter("utc_us is not null").groupBy("rec_id").agg(F.min("utc_us").alias("_us"))
+    zone = registry.select(F.col("domain").alias("_site"), F.col("zone_id").alias("_zone")).dropDuplicates(["_site"])
+    t = t.join(read, F.col("item_id") == F.col("rec_id"), "left").join(zone, F.col("source_domain") == F.col("_site"), "left")
+    day = F.date_trunc("day", F.from_utc_timestamp(F.timestamp_micros("_us"), F.coalesce("_zone", F.lit("UTC"))))
+    return t.withColumn("published_hint", F.coalesce("published_hint", day)).drop("rec_id", "_us", "_site", "_zone")
+
+
 # SQL fragments shared by several queries
 HOST = r"regexp_replace(lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\.', '')"
 PATH = r"regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
@@ -326,8 +341,8 @@ def routed(spark, d):
 
 
 def routed_by_table(spark, d, cfg: RunConfig):
-    """Routed by the terms of the keyword table."""
-    return route.route(items(spark, d), match.compile_matcher(cfg.match), cfg, as_of())
+    """Routed by the terms of the keyword table and by hints in any form."""
+    return route.route(dated_items(spark, d), match.compile_matcher(cfg.match), cfg, as_of())
 
 
 @query("route_items", f"WITH {ROUTE} SELECT item_id, route FROM r WHERE route IS NOT NULL")
@@ -360,7 +375,7 @@ def validate_articles(spark, d):
 def pipeline_run(spark, d):
     pages = items(spark, d).groupBy("url").agg(F.max(F.concat(F.lit("<html><body><article>"), F.coalesce("summary", F.lit("")), F.lit("</article></body></html>"))).alias("html"))
     stored = table(spark, d, "stored_articles").withColumn("published_at", dates.parse_iso(F.col("published_at")))
-    r = pipeline.run(items(spark, d), stored, pages, table(spark, d, "source_registry"), run_config(spark, d), as_of(), translator=lambda t, lang: f"[{lang}] {t}")
+    r = pipeline.run(dated_items(spark, d), stored, pages, table(spark, d, "source_registry"), run_config(spark, d), as_of(), translator=lambda t, lang: f"[{lang}] {t}")
     return r.table.select("url", "domain", "title", "snippet", F.unix_micros("published_at").alias("published_us"), F.array_join("matched_keywords", "|").alias("keywords"), "source_lang", "title_en")
 
 
