@@ -9,9 +9,11 @@ start: only the class representative, its smallest id, is hashed, so a group of
 copies of any size puts one row in each bucket. Buckets are joined by key;
 adaptive execution splits a bucket that grows hot among tasks.
 
-A band is three registers of the first signature with three of the second: a
-pair lands in one with probability ``(s1 * s2) ** 3``. With ``BANDS`` = 24 a pair
-at 0.80 in both is missed with 1 in 1100, at 0.85 in both 1 in 25 000.
+A band is two registers of the first signature with two of the second: a pair
+lands in one with probability ``(s1 * s2) ** 2``. Of ``BANDS`` = 72 a pair must share
+``LEAST`` = 2, which keeps most chance meetings from the exact check. A pair at the
+threshold, 0.60 in both, is missed with 1 in 1800, at 0.65 in both with 1 in 84 000,
+at 0.70 in both with 1 in 16 million.
 
 Defined results: NULL counts as empty; a record with an empty comparison form in
 either field is similar to nothing (and in a class of its own); repeated rows of
@@ -32,8 +34,9 @@ from wirelake.llm.components import components
 from wirelake.session import materialize
 
 SHINGLE = 5
-BANDS = 24
-ROWS = 3
+BANDS = 72
+ROWS = 2
+LEAST = 2
 THRESHOLD = 0.6
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -171,7 +174,7 @@ def links(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sig = materialize(texts.mapInArrow(_signatures, "id bigint, bands array<bigint>"), "p1-bands")
     x = sig.select(F.col("id").alias("a"), F.explode("bands").alias("k"))
     y = sig.select(F.col("id").alias("b"), F.explode("bands").alias("k"))
-    cand = x.join(y, "k").filter("a < b").select("a", "b").distinct()
+    cand = x.join(y, "k").filter("a < b").groupBy("a", "b").count().filter(F.col("count") >= LEAST).select("a", "b")
     one = texts.select(F.col("id").alias("a"), F.col("t").alias("t1"), F.col("s").alias("s1"))
     two = texts.select(F.col("id").alias("b"), F.col("t").alias("t2"), F.col("s").alias("s2"))
     both = cand.join(one, "a").join(two, "b").select("a", "b", "t1", "t2", "s1", "s2")
