@@ -23,7 +23,9 @@ repeated rows are kept; rows with a NULL id are kept.
 from __future__ import annotations
 
 import html
+import pickle
 import re
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -248,27 +250,57 @@ _OUT = pa.schema([("rec_table", pa.string()), ("rec_id", pa.int64()), ("kinds",
 
 def _difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by host and path: kinds, clean text, lines shared with the neighbour."""
-    held = None  # the first page of a host, which waits for the second
-    before = None
+    held = None  # the records of a host's first path, which wait for the next path
+    before = last = None  # last page of the path before; page before this one
+    rows: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _OUT)], schema=_OUT)
+        rows.clear()
+        return out
+
+    def release(other: tuple | None) -> Iterator[pa.RecordBatch]:
+        for page in _spilled(held):
+            rows.append(_finish(page, other))
+            if len(rows) >= 1000:
+                yield batch()
+
     for b in batches:
-        rows = []
         for host, path, tab, rid, text in zip(*(c.to_pylist() for c in b.columns)):
             ks = kinds(text)
             page = (host, path, tab, rid, ks, clean(text, ks).split("\n"))
+            if last is None or last[0] != host:
+                if held is not None:
+                    yield from release(None)
+                # small holds stay in memory, large ones go to a file
+                held, before = tempfile.SpooledTemporaryFile(1 << 22), None
+            elif last[1] != path:
+                if held is not None:
+                    yield from release(page)
+                    held = None
+                before = last
+            last = page
             if held is not None:
-                rows.append(_finish(held, page))
-                held = None
-            if before is None or before[0] != host:
-                held = page
+                pickle.dump(page, held)
             else:
                 rows.append(_finish(page, before))
-            # the neighbour stays the nearest page with another path
-            if before is None or (host, path) != before[:2]:
-                before = page
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _OUT)], schema=_OUT)
+            yield batch()
     if held is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(_finish(held, None)), _OUT)], schema=_OUT)
+        yield from release(None)
+    if rows:
+        yield batch()
+
+
+def _spilled(f) -> Iterator[tuple]:
+    """The pages written to ``f``, one at a time; closes it."""
+    f.seek(0)
+    with f:
+        while True:
+            try:
+                yield pickle.load(f)
+            except EOFError:
+                return
 
 
 def _finish(page: tuple, other: tuple | None) -> tuple:
