@@ -4,13 +4,14 @@ Texts are cut into fragments (sentences, lines, headings). A fragment is trusted
 residue if its words are a known message as a whole; a template field or a stand-in
 for a missing value inside a sentence marks the record, not the sentence.
 
-The fragments' 64-bit SimHashes over five-character shingles are kept in tables
-partitioned by four 16-bit blocks; two fragments within ``HAMMING`` = 3 bits share
-a block for sure. Trusted labels spread over the near-duplicate graph from the
-labelled fragments outwards, round by round, until no component they touch has an
-unlabelled fragment left: a link needs both the Hamming distance and a text
-similarity of ``SIMILARITY``. Components without a trusted label are never
-expanded, so the work follows the residue and not the square of the corpus.
+Trusted labels spread over the near-duplicate graph from the labelled fragments
+outwards, round by round, until no component they touch has an unlabelled fragment
+left: a link is a similarity of ``SIMILARITY`` of the five-character shingle sets.
+Candidates come from an exact prefix filter: in any one order of all shingles, two
+sets so similar share one of their first ``n - ceil(SIMILARITY * n) + 1``, so no
+link is lost. Rare shingles (by a sample) stand first, which keeps candidates few.
+Components without a trusted label are never expanded, so the work follows the
+residue and not the square of the corpus.
 
 Defined results: NULL, empty and blank texts are no cases; a NULL id is kept as
 such; repeated rows give one case.
@@ -30,7 +31,10 @@ from pyspark.sql import functions as F
 from wirelake.llm.neardup import _jaccards, shingle_hashes
 from wirelake.session import materialize
 
-HAMMING, SIMILARITY, SHINGLE, BLOCKS = 3, 0.8, 5, 4
+SIMILARITY, SHINGLE = 0.8, 5
+#: named by a test of ``simhash``; neither limits ``spread`` any more
+HAMMING = 3
+SAMPLE, LEVEL_BITS = 20_000, 20
 
 # Unfilled template fields, in any place of a text.
 FIELD = re.compile(
@@ -143,7 +147,7 @@ def simhash(texts: list[str]) -> np.ndarray:
     return out
 
 
-_FRAGMENTS = "rec_table string, rec_id bigint, inline boolean, frags array<struct<text: string, label: string, sim: bigint>>"
+_FRAGMENTS = "rec_table string, rec_id bigint, inline boolean, frags array<struct<text: string, label: string>>"
 
 
 def _analyse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +167,7 @@ def _analyse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     known[f] = whole_label(f)
                 labels.append(known[f])
             offsets = np.cumsum([0, *map(len, frags)], dtype=np.int32)
-            cells = pa.StructArray.from_arrays([pa.array(flat, pa.string()), pa.array(labels, pa.string()), pa.array(simhash(flat))], ["text", "label", "sim"])
+            cells = pa.StructArray.from_arrays([pa.array(flat, pa.string()), pa.array(labels, pa.string())], ["text", "label"])
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(inline), pa.ListArray.from_arrays(pa.array(offsets), cells)], names=["rec_table", "rec_id", "inline", "frags"]
             )
@@ -175,32 +179,59 @@ def _similar(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok)), b.column(2).filter(pa.array(ok))], names=["text", "label"])
 
 
-def _tables(df: DataFrame) -> DataFrame:
-    """One row per SimHash table: ``key`` names the table and the block's bits."""
-    bits = 64 // BLOCKS
-    keys = [F.shiftrightunsigned("sim", bits * i).bitwiseAND((1 << bits) - 1) + (i << bits) for i in range(BLOCKS)]
-    return df.withColumn("key", F.explode(F.array(*keys)))
+def shingle_levels(texts: list[str]) -> np.ndarray:
+    """How common shingles are, on a scale of bytes, by the top bits of their hashes."""
+    _, h = shingle_hashes(texts, SHINGLE)
+    n = np.bincount((h >> np.uint64(64 - LEVEL_BITS)).astype(np.int64), minlength=1 << LEVEL_BITS)
+    return np.minimum(255, 4 * np.log2(1 + n)).astype(np.uint8)
+
+
+def prefix_keys(texts: list[str], levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(document, key)`` of the rarest shingles, and the number of shingles of each text."""
+    doc, h = shingle_hashes(texts, SHINGLE)
+    key = levels[(h >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | h & np.uint64((1 << 56) - 1)
+    order = np.lexsort((key, doc))
+    doc, key = doc[order], key[order]
+    once = np.ones(len(doc), dtype=bool)
+    once[1:] = (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])
+    doc, key = doc[once], key[once]
+    n = np.bincount(doc, minlength=len(texts))
+    place = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
+    keep = place < (n - np.ceil(SIMILARITY * n - 1e-9) + 1)[doc]
+    return doc[keep], key[keep].view(np.int64), n
+
+
+def _keyed(levels):
+    """Rows of ``(x, text)`` to ``(x, n, key)``, one for each prefix key; ``levels``: a broadcast."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 2000):
+                part = b.slice(lo, 2000)
+                doc, key, n = prefix_keys(part.column(1).to_pylist(), levels.value)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc)), pa.array(n[doc].astype(np.int32)), pa.array(key)], names=["x", "n", "key"])
+
+    return run
 
 
 def spread(frags: DataFrame, max_rounds: int = 30) -> DataFrame:
-    """``frags(text, label, sim)`` to all labelled fragments ``(text, label)``.
+    """``frags(text, label)`` to all labelled fragments ``(text, label)``.
 
     Trusted labels pass along near-duplicate links until nothing changes.
     """
-    known = materialize(frags.filter("label is not null").groupBy("text", "sim").agg(F.min("label").alias("label")), "p4-known")
+    known = materialize(frags.filter("label is not null").groupBy("text").agg(F.min("label").alias("label")), "p4-known")
     new = known
-    open_ = frags.filter("label is null").select("text", "sim")
+    open_ = frags.filter("label is null").select(F.xxhash64("text").alias("h"), "text")
+    sample = [r[0] for r in open_.select("text").limit(SAMPLE).collect()]
+    levels = frags.sparkSession.sparkContext.broadcast(shingle_levels(sample))
     for _ in range(max_rounds):
-        near = (
-            _tables(open_.withColumnRenamed("text", "other"))
-            .join(_tables(new).withColumnRenamed("sim", "sim2"), "key")
-            .filter(F.bit_count(F.col("sim").bitwiseXOR(F.col("sim2"))) <= HAMMING)
-            .select("other", "text", "label")
-            .distinct()
-        )
+        left = open_.mapInArrow(_keyed(levels), "x bigint, n int, key bigint")
+        right = new.select(F.xxhash64("text").alias("h2"), "text").mapInArrow(_keyed(levels), "x bigint, n int, key bigint").select(F.col("x").alias("h2"), F.col("n").alias("n2"), "key")
+        pairs = left.join(right, "key").filter(F.least("n", "n2") >= SIMILARITY * F.greatest("n", "n2") - 1e-9).select(F.col("x").alias("h"), "h2").distinct()
+        # equal hashes of other texts do no harm: the texts decide
+        near = pairs.join(new.select(F.xxhash64("text").alias("h2"), F.col("text").alias("seed"), "label"), "h2").join(open_, "h").select(F.col("text").alias("other"), "seed", "label").distinct()
         got = near.mapInArrow(_similar, "text string, label string").groupBy("text").agg(F.min("label").alias("label"))
-        got = got.join(known.select("text"), "text", "left_anti")
-        new = materialize(got.join(open_.dropDuplicates(["text"]), "text").select("text", "sim", "label"), "p4-new")
+        new = materialize(got.join(known.select("text"), "text", "left_anti"), "p4-new")
         if new.isEmpty():
             return known.select("text", "label")
         known = materialize(known.unionByName(new), "p4-known")
@@ -211,8 +242,8 @@ def residue(records: DataFrame) -> DataFrame:
     """``records(rec_table, rec_id, text)`` to the cases ``(rec_table, rec_id)``."""
     some = records.select("rec_table", F.col("rec_id").cast("bigint").alias("rec_id"), "text").filter(F.col("text").rlike(r"\S"))
     rows = materialize(some.mapInArrow(_analyse, _FRAGMENTS), "p4-rows")
-    flat = rows.select("rec_table", "rec_id", F.explode("frags").alias("f")).select("rec_table", "rec_id", "f.text", "f.label", "f.sim")
-    known = spread(flat.select("text", "label", "sim"))
+    flat = rows.select("rec_table", "rec_id", F.explode("frags").alias("f")).select("rec_table", "rec_id", "f.text", "f.label")
+    known = spread(flat.select("text", "label"))
     direct = rows.filter(F.col("inline") | F.exists("frags", lambda f: f.label.isNotNull())).select("rec_table", "rec_id")
     later = flat.filter("label is null").join(known, "text", "left_semi").select("rec_table", "rec_id")
     return direct.union(later).distinct()
