@@ -49,7 +49,7 @@ def enrich(items: DataFrame, pages: DataFrame, extractors: DataFrame | None, con
     body = text.clean_snippet(F.array_join(F.slice(text.clean_paragraphs(F.col("_page.paragraphs")), 1, 3), " "))
     prose = text.clean_snippet(F.array_join(text.prose(F.col("_page.paragraphs")), " "))
     ladder = F.coalesce(*[F.nullif(c, F.lit("")) for c in (F.col("_feed"), body, text.clean_snippet(F.col("_page.description")), prose)], F.lit(""))
-    written = F.coalesce(*[dates.parse_iso(F.get("_page.dates", F.lit(i))) for i in range(4)])
+    written = F.get(F.filter(F.transform("_page.dates", dates.parse_iso), lambda t: t.isNotNull()), F.lit(0))
     late = late.withColumn("snippet", ladder).withColumn("published", F.coalesce("published_at", written)).withColumn("ext_title", F.when(~titled, F.col("_page.title")))
     drop = ("_feed", "_done", "_pu", "html", "spec", "_page")
     return early.drop(*drop).unionByName(late.drop(*drop))
