@@ -3,6 +3,7 @@ import pytest
 
 from wirelake.llm import residue as rs
 
+SEEDS = rs.seed_labels()
 CASES = [
     "Service Unavailable: You don't have permission to view this resource.", "${autor} - %%NOME_DO_SITE%%", "Em X, a frota {{ post.resumo }} revisou a licença.", "Erro 404", "A empresa [object Object] comentou.", "o None None 30 participantes",
     "Lorem ipsum dolor sit amet consectetur.", "Adipiscing elit eiusmod labore incididunt tempor do sed ut.", "aaaa bbbb cccc teste teste teste 35,3 teste", "Texto de exemplo. Texto de exemplo.", "Notícia real.\nXXXX Your caption goes here.",
@@ -17,7 +18,7 @@ NEWS = [
 
 
 def direct(t):
-    return bool(rs.FIELD.search(t) or rs.STAND_IN.search(t) or any(map(rs.whole_label, rs.fragments(t))))
+    return bool(rs.FIELD.search(t) or rs.STAND_IN.search(t) or any(f in SEEDS or rs.rule_label(f) for f in rs.fragments(t)))
 
 
 @pytest.mark.parametrize("t", CASES)
@@ -42,21 +43,42 @@ def test_simhash_bits():
         assert sim[i] == want
 
 
-def test_labels_spread_to_near_copies(spark):
-    seed = "the page you are looking for does not exist or has been moved to some other place of our site"
-    near, far = seed.replace("our site", "our sites"), "a completely different sentence about oil prices in the north sea basin today"
-    texts = [seed, near, far]
-    sims = rs.simhash(texts)
-    assert bin(int(sims[0]) ^ int(sims[1])).count("1") <= rs.HAMMING
-    rows = [(seed, "error", int(sims[0])), (near, None, int(sims[1])), (near, None, int(sims[1])), (far, None, int(sims[2]))]
-    df = spark.createDataFrame(rows, "text string, label string, sim long")
-    assert {tuple(r) for r in rs.spread(df).collect()} == {(seed, "error"), (near, "error")}
+def records(spark, texts):
+    return spark.createDataFrame([("t", i, t) for i, t in enumerate(texts)], "rec_table string, rec_id long, text string")
+
+
+@pytest.mark.parametrize("frontier", [rs.FRONTIER, 0])
+def test_labels_spread_through_the_component(spark, frontier):
+    """A chain of near copies is followed to its end, with tables in the tasks and with joined keys."""
+    first = "please wait while the gate of our site looks at the kind of program that asks for this page"
+    second, third = first.replace("this page", "that page"), first.replace("this page", "that page again")
+    texts = [first, second, third, third, "a completely different sentence about oil prices in the north sea basin"]
+    got = {(r.rec_id, r.how) for r in rs.residue(records(spark, texts), {first: "notice"}, frontier).collect()}
+    assert got == {(0, "seed"), (1, "copy"), (2, "copy"), (3, "copy")}
+
+
+def test_companions_of_messages(spark):
+    known = {"page not found": "error", "access denied": "error", "bad gateway": "error", "forbidden": "error"}
+    pages = [f"{k}. Go back to the front page. {i}" for i, k in enumerate(known)]
+    copied = ["Forbidden. Oil rose two percent on Monday.", "Forbidden. Oil rose two percent on Monday. x", "Forbidden. Oil rose two percent on Monday. y", "Forbidden. Oil rose two percent on Monday. z", "Oil rose two percent on Monday."]
+    got = {r.rec_id: r.how for r in rs.residue(records(spark, [*pages, *copied, "Go back to the front page."]), known).collect()}
+    assert got == {**{i: "seed" for i in range(8)}, 9: "companion"}
+
+
+def test_half_of_the_seeds(spark):
+    """Pages of three messages out of twelve: half of the seeds finds them all."""
+    rng = np.random.default_rng(3)
+    words = ["amber", "birch", "cedar", "delta", "ember", "fjord", "grove", "hazel", "inlet", "jetty", "knoll", "larch"]
+    messages = [f"the {w} gate gave no answer" for w in words]
+    texts = [". ".join(np.array(messages)[rng.permutation(12)[:3]]) + f". news {i} of {i * 7}" for i in range(200)] + [f"news of day {i} and {i * 3}" for i in range(100)]
+    found = rs.residue(records(spark, texts), {m: "error" for m in messages[::2]}).count()
+    assert found == 200
 
 
 def test_records(spark):
     rows = [("articles", i, t) for i, t in enumerate(CASES)] + [("raw_items", i, t) for i, t in enumerate(NEWS)] + [("raw_items", 100, None), ("raw_items", 101, ""), ("raw_items", 102, " \n"), ("raw_items", None, "Erro 404"), ("articles", 0, CASES[0])]
     df = spark.createDataFrame(rows, "rec_table string, rec_id long, text string").selectExpr("*", "1 as inline", "'x' as label")
-    got = {tuple(r) for r in rs.residue(df).collect()}
+    got = {tuple(r)[:2] for r in rs.residue(df).collect()}
     assert got == {("articles", i) for i in range(len(CASES))} | {("raw_items", None)}
     assert rs.residue(df.limit(0)).count() == 0
     long = spark.createDataFrame([("t", 1, "palavra normal " * 50_000 + "\nErro 404")], "rec_table string, rec_id long, text string")
