@@ -11,9 +11,9 @@ must agree, which a pair at the threshold, 0.60 in both fields, does with 0.97 a
 chance pair with 0.28. With ``BANDS`` = 56 a pair at the threshold is missed with 1 in 1 900,
 at 0.65 in both with 1 in 150 000.
 
-Before any text moves, candidates are compared by sketches, one bit of each of 64
-further registers per field: a pair at the threshold agrees in 102 of 128 bits on
-average and in fewer than ``AGREE`` = 86 with 1 in 10 000; a chance pair in 70 or so.
+Before any text moves, candidates are compared by title sketches, two bits of each of
+64 further registers: titles at the threshold agree in 45 of 64 on average and in fewer
+than ``AGREE`` = 32 with 1 in 3 000; a chance pair in 25 or so.
 
 Equal copies (same texts as stored, then same comparison form of both fields) are one
 class from the start: only the class representative, its smallest id, is hashed, so a group of copies of any size puts one row in each bucket.
@@ -27,12 +27,13 @@ one id count once; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,9 @@ from wirelake.session import discard, materialize
 SHINGLE = 5
 BANDS, ROWS = 56, 2
 LIKE, BITS = 16, 24
-SKETCH, AGREE = 64, 86
+SKETCH, AGREE = 64, 32
+#: texts whose shingles are worked on at once: they stay in the cache of a core
+LOT = 250
 THRESHOLD = 0.6
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -131,26 +134,37 @@ def band_keys(t_texts: list[str], s_texts: list[str], bands: int = BANDS) -> np.
 
 def _banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for lo in range(0, b.num_rows, 2000):
-            part = b.slice(lo, 2000)
+        for lo in range(0, b.num_rows, LOT):
+            part = b.slice(lo, LOT)
             keys = band_keys(part.column(1).to_pylist(), part.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), keys.shape[1])), pa.array(keys.reshape(-1))], names=["id", "v"])
 
 
-def sketches(texts: list[str]) -> np.ndarray:
-    """64 bits per text, one of each register of a signature of its own."""
+def sketches(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of each of ``SKETCH`` registers of a signature of its own, as two numbers per text."""
     doc, h = shingle_hashes(texts)
     with np.errstate(over="ignore"):
-        sig = superminhash(doc, mix(h + _MIX2), len(texts), SKETCH).view(np.uint64)
-        bits = (mix(sig) >> np.uint64(40)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8), axis=1, bitorder="little").view(np.int64).reshape(-1)
+        sig = mix(superminhash(doc, mix(h + _MIX2), len(texts), SKETCH).view(np.uint64))
+    low, high = ((sig >> np.uint64(i) & np.uint64(1)).astype(np.uint8) for i in (40, 41))
+    return tuple(np.packbits(x, axis=1, bitorder="little").view(np.int64).reshape(-1) for x in (low, high))
 
 
-def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def forms_of(texts: list[str | None]) -> pa.Array:
+    """The comparison form of each text; NULL stays NULL."""
+    low = pa.array([None if t is None else t.lower() for t in texts], pa.string())
+    return pc.utf8_trim(pc.replace_substring_regex(low, r"[^\pL\pN]+", " "), " ")
+
+
+def _prepared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``id, rep, t, s`` with the comparison forms, their hash and the title's sketch."""
     for b in batches:
-        for lo in range(0, b.num_rows, 2000):
-            part = b.slice(lo, 2000)
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(sketches(part.column(i).to_pylist())) for i in (1, 2))], names=["id", "kt", "ks"])
+        for lo in range(0, b.num_rows, LOT):
+            part = b.slice(lo, LOT)
+            t, s = (forms_of(part.column(i).to_pylist()) for i in (2, 3))
+            lt, ls = t.to_pylist(), s.to_pylist()
+            h = [None if x is None else hashlib.md5(f"{x}\n{y}".encode("utf-8", "surrogatepass"), usedforsecurity=False).digest() for x, y in zip(lt, ls)]
+            k1, k2 = sketches([x or "" for x in lt])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), t, s, pa.array(h, pa.binary()), pa.array(k1), pa.array(k2)], names=["id", "rep", "t", "s", "h", "k1", "k2"])
 
 
 def _jaccards(x: list[str], y: list[str], k: int) -> np.ndarray:
@@ -198,7 +212,7 @@ def _verify(threshold: float):
 
 
 def classes(records: DataFrame, id_col: str = "article_id", title: str = "title", snippet: str = "snippet") -> tuple[DataFrame, DataFrame]:
-    """(``member(id, rep)``, ``texts(id, t, s)`` of the representatives with both texts).
+    """(``member(id, rep)``, ``texts(id, t, s, k1, k2)`` of the representatives with both texts).
 
     Copies as stored are found first, on a hash of the raw texts; the comparison form
     is then made once a class, and classes of one form are joined.
@@ -207,14 +221,14 @@ def classes(records: DataFrame, id_col: str = "article_id", title: str = "title"
     raw = raw.withColumn("h", F.unhex(F.md5(F.concat(F.length("t").cast("string"), F.lit(":"), "t", "s"))))
     rep = raw.groupBy("h").agg(F.min("id").alias("rep"))
     own = F.col("id") == F.col("rep")
-    forms = raw.join(rep, "h").select("id", "rep", F.when(own, compare_form(F.col("t"))).alias("t"), F.when(own, compare_form(F.col("s"))).alias("s"))
-    forms = forms.filter("t is null or t <> '' and s <> ''").withColumn("h", F.unhex(F.md5(F.concat_ws("\n", "t", "s"))))
-    forms = materialize(forms, "p1-forms")
+    forms = raw.join(rep, "h").select("id", "rep", F.when(own, F.col("t")).alias("t"), F.when(own, F.col("s")).alias("s"))
+    forms = forms.mapInArrow(_prepared, "id bigint, rep bigint, t string, s string, h binary, k1 bigint, k2 bigint")
+    forms = materialize(forms.filter("t is null or t <> '' and s <> ''"), "p1-forms")
     first = forms.filter("t is not null")
     several = first.groupBy("h").agg(F.min("id").alias("best"), F.max("id").alias("last")).filter("best < last")
     again = materialize(first.select("h", F.col("id").alias("other")).join(several, "h").filter("other <> best").select("other", "best").distinct(), "p1-again")
     # these are few as a rule; where they are not, the join shuffles
-    texts = first.select("id", "t", "s").join(again, F.col("id") == F.col("other"), "left_anti")
+    texts = first.select("id", "t", "s", "k1", "k2").join(again, F.col("id") == F.col("other"), "left_anti")
     copies = forms.filter("t is null").select("id", "rep").join(first.select(F.col("id").alias("of")), F.col("rep") == F.col("of"), "left_semi")
     member = first.select("id", F.col("id").alias("rep")).unionByName(copies).join(again, F.col("rep") == F.col("other"), "left")
     return member.select("id", F.coalesce("best", "rep").alias("rep")).distinct(), texts
@@ -222,23 +236,21 @@ def classes(records: DataFrame, id_col: str = "article_id", title: str = "title"
 
 def links(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All verified pairs ``(a, b)``, a < b, of class representatives; rows of one id count once."""
-    bands = texts.mapInArrow(_banded, "id bigint, v bigint")
+    bands = texts.select("id", "t", "s").mapInArrow(_banded, "id bigint, v bigint")
     x = bands.select(F.col("id").alias("a"), F.col("v").alias("v1"))
     # many rows come of each text, which the planner can't know: never broadcast them
     y = bands.select(F.col("id").alias("b"), F.col("v").alias("v2")).hint("merge")
     same = F.shiftright("v1", BITS) == F.shiftright("v2", BITS)
     unlike = F.bit_count(F.col("v1").bitwiseXOR(F.col("v2")))  # the keys are equal
     cand = x.join(y, same & (F.col("a") < F.col("b")) & (unlike <= BITS - LIKE)).select("a", "b").distinct()
-    sketch = materialize(texts.mapInArrow(_sketched, "id bigint, kt bigint, ks bigint"), "p1-sketches")
-    one = sketch.select(F.col("id").alias("a"), F.col("kt").alias("kt1"), F.col("ks").alias("ks1"))
-    two = sketch.select(F.col("id").alias("b"), F.col("kt").alias("kt2"), F.col("ks").alias("ks2"))
-    differ = F.bit_count(F.col("kt1").bitwiseXOR(F.col("kt2"))) + F.bit_count(F.col("ks1").bitwiseXOR(F.col("ks2")))
-    close = materialize(cand.join(one, "a").join(two, "b").filter(differ <= 2 * SKETCH - AGREE).select("a", "b"), "p1-close")
+    one = texts.select(F.col("id").alias("a"), F.col("k1").alias("a1"), F.col("k2").alias("a2"))
+    two = texts.select(F.col("id").alias("b"), F.col("k1").alias("b1"), F.col("k2").alias("b2"))
+    differ = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")).bitwiseOR(F.col("a2").bitwiseXOR(F.col("b2"))))
+    close = materialize(cand.join(one, "a").join(two, "b").filter(differ <= SKETCH - AGREE).select("a", "b"), "p1-close")
     one = texts.select(F.col("id").alias("a"), F.col("t").alias("t1"), F.col("s").alias("s1"))
     two = texts.select(F.col("id").alias("b"), F.col("t").alias("t2"), F.col("s").alias("s2"))
     both = close.join(one, "a").join(two, "b").select("a", "b", "t1", "t2", "s1", "s2")
     out = materialize(both.mapInArrow(_verify(threshold), "a bigint, b bigint").distinct(), "p1-links")
-    discard(sketch)
     discard(close)
     return out
 
