@@ -1,17 +1,20 @@
 """Cutting oversized texts at natural boundaries by structure-tree packing (problem 9).
 
 A text is read as a tree: sections under their headings (Markdown, HTML, wiki,
-LaTeX), then blocks between blank lines, list items, table rows and lines, then
-sentences, clauses, words, and at the bottom the token borders between two
-characters. A node is cut into its children only if it is larger than the limit;
-sibling subtrees are merged from the bottom up as long as they fit together. Each
-piece after the first starts with the last ``overlap`` tokens of the piece before.
+LaTeX), then blocks. A paragraph, a list, a table and a piece of fenced code is one
+block each; a list has its items as children and nested items below them, a table
+its rows, code its paragraphs and lines. Below come sentences, clauses, words, and at
+the bottom the token borders between two characters. A node is cut into its children
+only if it is larger than the limit; sibling subtrees are merged from the bottom up as
+long as they fit together. Each piece after the first starts with the last ``overlap``
+tokens of the piece before, which may reach into that piece's own overlap.
 
 Sizes are counted on the real tokens: a prefix sum over the pretokens of the
-text, with the borders inside a pretoken where one has to be cut. Every piece is
-encoded again by itself; if its new context made it longer than the limit (a cut
-inside a word can), its overlap is shortened, and if that is not enough its end
-is moved back and the rest is cut again.
+text, with the borders inside a pretoken where one has to be cut. The start of an
+overlap is the border between characters whose text, encoded by itself, comes nearest
+to the stated number of tokens. Every piece is encoded again by itself; if its new
+context made it longer than the limit, its core gives up its end, which goes to the
+next piece. Only a core of a single character gives up overlap instead.
 
 Defined results: NULL and empty texts and texts within the limit give no rows;
 repeated rows are each cut; the pieces' cores (``core_start`` to ``end_char``)
@@ -37,15 +40,28 @@ _HEADING = re.compile(
 _SIGNS = re.compile(r"[#\\]|==|<[hH][1-6]")
 _TEX = {"part": 1, "chapter": 1, "section": 2, "subsection": 3, "subsubsection": 4}
 _FENCE = re.compile(r"(?m)^[ \t]*(?:```|~~~)")
-# what ends a child, level by level below the sections
+# blocks of more than one line that are one node each
+_ATOMS = [
+    re.compile(r"(?ms)^[ \t]*(```|~~~)[^\n]*\n.*?(?:^[ \t]*\1[^\n]*(?:\n|\Z)|\Z)"),
+    re.compile(r"(?is)<(table|ul|ol|pre)\b[^>]*>.*?</\1\s*>\n?"),
+    re.compile(r"(?s)\\begin\{(itemize|enumerate|description|tabular|verbatim|equation|align)\*?\}.*?\\end\{\1\*?\}\n?"),
+    re.compile(r"(?m)(?:^[ \t]*(?:[-*+\u2022]|\d{1,3}[.)])[ \t]+\S[^\n]*(?:\n|\Z)(?:^[ \t]+\S[^\n]*(?:\n|\Z))*){2,}"),
+    re.compile(r"(?m)(?:^[ \t]*(?:\{\||\||!)[^\n]*(?:\n|\Z)){2,}"),
+]
+_ATOM_SIGNS = re.compile(r"```|~~~|<(?:table|ul|ol|pre)\b|\\begin|^[ \t]*(?:[-*+\u2022|!]|\d{1,3}[.)])", re.M | re.I)
+_ITEM = re.compile(r"(?m)^([ \t]*)(?:[-*+\u2022]|\d{1,3}[.)]|\\item\b)[ \t]*(?=\S)|<li\b", re.I)
+# what ends a child, level by level below the sections and list items
+_BLANK = re.compile(r"\n[ \t\r]*\n\s*|</(?:p|div|ul|ol|table|pre|blockquote|section)>", re.I)
 _ENDS = [
-    re.compile(r"\n[ \t\r]*\n\s*|</(?:p|div|ul|ol|table|pre|blockquote|section)>", re.I),
+    _BLANK,
     re.compile(r"\r\n|[\n\r\u2028\u2029]|</(?:li|tr|dd|dt)>|<br ?/?>", re.I),
     re.compile(r"[.!?…؟]+[\"'”’»)\]]*\s+|[。！？]+[”’」』）]*"),
     re.compile(r"[,;:—،؛]\s+|[，；：、]"),
     re.compile(r"\s+"),
 ]
-_SECTIONS, _WORDS, _BORDERS = 6, 6 + 4, 6 + 5
+_SECTIONS, _ITEMS = 6, 3  # levels of headings, of nested list items
+_BLOCKS, _PARTS = _SECTIONS, _SECTIONS + 1 + _ITEMS
+_WORDS, _BORDERS = _PARTS + 4, _PARTS + 5
 
 
 class Tree:
@@ -58,6 +74,7 @@ class Tree:
         self.sum = [0, *accumulate(map(tok.count_of.__getitem__, self.words))]
         self._inside: dict[int, tuple[list[int], list[int]]] = {}
         self._heads: list[tuple[int, int]] | None = None
+        self._atoms: list[tuple[int, int]] | None = None
 
     @property
     def heads(self) -> list[tuple[int, int]]:
@@ -78,6 +95,45 @@ class Tree:
                     self._heads.append((m.start(), level))
         return self._heads
 
+    @property
+    def atoms(self) -> list[tuple[int, int]]:
+        """Spans of lists, tables and code, in order and apart; code and tags go before plain lines."""
+        if self._atoms is None:
+            self._atoms = []
+            if _ATOM_SIGNS.search(self.text):
+                for pattern in _ATOMS:
+                    for m in pattern.finditer(self.text):
+                        k = bisect_right(self._atoms, (m.start(), m.end()))
+                        if (not k or self._atoms[k - 1][1] <= m.start()) and (k == len(self._atoms) or m.end() <= self._atoms[k][0]):
+                            self._atoms.insert(k, m.span())
+        return self._atoms
+
+    def blocks(self, lo: int, hi: int) -> list[int]:
+        """Ends of paragraphs outside lists, tables and code, and the borders of these."""
+        atoms = self.atoms
+        out = {m.end() for m in _BLANK.finditer(self.text, lo, hi)}
+        if atoms:
+            starts = [x for x, _ in atoms]
+            k = max(0, bisect_right(starts, lo) - 1)
+            near = [x for x in atoms[k : bisect_right(starts, hi)] if x[1] > lo]
+            out = {p for p in out if not any(x < p < y for x, y in near)} if len(near) < 4 else {p for p in out if not self._within(p, starts)}
+            out |= {p for x in near for p in x}
+        return sorted(out)
+
+    def _within(self, pos: int, starts: list[int]) -> bool:
+        k = bisect_right(starts, pos) - 1
+        return k >= 0 and self.atoms[k][0] < pos < self.atoms[k][1]
+
+    def items(self, lo: int, hi: int) -> list[int]:
+        """Starts of the outermost list items in the span, if it lies in a list."""
+        atoms = self.atoms
+        k = bisect_right(atoms, (lo, len(self.text) + 1)) - 1
+        if k < 0 or atoms[k][1] <= lo:
+            return []
+        found = [(len((m[1] or "").expandtabs(4)), m.start()) for m in _ITEM.finditer(self.text, lo, min(hi, atoms[k][1])) if m.start() > lo]
+        least = min((n for n, _ in found), default=0)
+        return [p for n, p in found if n == least]
+
     def inside(self, k: int) -> tuple[list[int], list[int]]:
         """Characters, and tokens before them, at the borders of pretoken ``k`` that lie between characters."""
         if k not in self._inside:
@@ -117,8 +173,12 @@ class Tree:
         """Inner positions where a node of this level may be cut."""
         if level < _SECTIONS:
             return [p for p, lv in self.heads if lv == level + 1 and lo < p < hi]
+        if level == _BLOCKS:
+            return [p for p in self.blocks(lo, hi) if lo < p < hi]
+        if level < _PARTS:
+            return [p for p in self.items(lo, hi) if lo < p < hi]
         if level < _BORDERS:
-            found = (m.start() if level == _WORDS else m.end() for m in _ENDS[level - _SECTIONS].finditer(self.text, lo, hi))
+            found = (m.start() if level == _WORDS else m.end() for m in _ENDS[level - _PARTS].finditer(self.text, lo, hi))
             return [p for p in found if lo < p < hi]
         a, b = bisect_right(self.at, lo) - 1, bisect_left(self.at, hi)
         return [c for k in range(a, b) for c in self.inside(k)[0] if lo < c < hi]
@@ -175,28 +235,42 @@ class Tree:
         return min(pos, max(best, least))
 
 
+def overlap_start(tree: Tree, core: int, overlap: int, least: int) -> int:
+    """Where ``overlap`` tokens end at ``core``, counted on the overlap by itself."""
+    ask, best = overlap, (overlap + 1, core)
+    for _ in range(4):
+        at = tree.back(core, ask, least)
+        off = tree.tok.count(tree.text[at:core]) - overlap
+        best = min(best, (abs(off), at))
+        if off == 0 or at == least and off < 0:
+            break
+        ask = max(1, ask - off)
+    return best[1]
+
+
 def split_text(text: str, tok: tokenizer.Tokenizer, limit: int, overlap: int) -> list[tuple[int, int, int, int]]:
     """(start, core start, end, tokens) of each piece; nothing if the text is within the limit."""
     tree = Tree(text, tok)
     if tree.sum[-1] <= limit:
         return []
-    todo = tree.pack(0, len(text), max(1, limit - overlap))[::-1]
+    room = max(1, limit - overlap)
+    todo = tree.pack(0, len(text), room)[::-1]
     out: list[tuple[int, int, int, int]] = []
     while todo:
         core, end = todo.pop()
-        keep = overlap if out else 0
-        start = tree.back(core, keep, out[-1][1]) if out else core
+        start = overlap_start(tree, core, overlap, out[-1][0]) if out and overlap else core
         n = tree.size(start, end)
-        while n > limit and keep > 0:
-            keep = max(0, keep - max(1, n - limit))
-            start = tree.back(core, keep, out[-1][1])
-            n = tree.size(start, end)
         if n > limit and end - core > 1:
-            inner = tree.pack(core, end, max(1, (tree.tokens_to(end) - tree.tokens_to(core)) // 2))
+            inner = tree.pack(core, end, max(1, tree.tokens_to(end) - tree.tokens_to(core) - (n - limit)))
             if len(inner) == 1:
                 inner = [(core, (core + end) // 2), ((core + end) // 2, end)]
+            if todo and tree.tokens_to(todo[-1][1]) - tree.tokens_to(inner[-1][0]) <= room:
+                inner[-1] = (inner[-1][0], todo.pop()[1])  # the end goes to the next piece
             todo += inner[::-1]
             continue
+        while n > limit and start < core:
+            start += 1
+            n = tree.size(start, end)
         out.append((start, core, end, n))
     return out
 
