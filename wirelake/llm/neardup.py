@@ -11,9 +11,9 @@ must agree, which a pair at the threshold, 0.60 in both fields, does with 0.97 a
 chance pair with 0.28. With ``BANDS`` = 56 a pair at the threshold is missed with 1 in 1 900,
 at 0.65 in both with 1 in 150 000.
 
-Before any text moves, candidates are compared by title sketches, two bits of each of
-64 further registers: titles at the threshold agree in 45 of 64 on average and in fewer
-than ``AGREE`` = 32 with 1 in 3 000; a chance pair in 25 or so.
+Before any text moves, candidates are compared by two bits of each of 64 registers a
+field: a field at the threshold agrees in 45 of 64 on average and in fewer than ``AGREE`` =
+32 with 1 in 3 000; one of a chance pair in 25 or so. Registers are kept as one byte each.
 
 Equal copies (same texts as stored, then same comparison form of both fields) are one
 class from the start: only the class representative, its smallest id, is hashed, so a group of copies of any size puts one row in each bucket.
@@ -114,39 +114,45 @@ def superminhash(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> np.ndar
     return sig
 
 
-def band_keys(t_texts: list[str], s_texts: list[str], bands: int = BANDS) -> np.ndarray:
+def signatures(t_texts: list[str], s_texts: list[str]) -> np.ndarray:
+    """``n`` x 2 x registers: a byte of each register of both fields."""
+    out = np.empty((len(t_texts), 2, BANDS * ROWS), dtype=np.uint8)
+    for f, texts in enumerate((t_texts, s_texts)):
+        doc, h = shingle_hashes(texts)
+        with np.errstate(over="ignore"):
+            out[:, f] = mix(superminhash(doc, h, len(texts), BANDS * ROWS).view(np.uint64)) >> np.uint64(56)
+    return out
+
+
+def band_numbers(sig: np.ndarray) -> np.ndarray:
     """One number per document and band: 40 bits of key, 24 bits of sketch."""
-    n = len(t_texts)
-    keys = np.tile(mix(np.arange(1, bands + 1, dtype=np.uint64)), (n, 1))
-    sketch = np.zeros((n, bands), dtype=np.uint64)
+    n = len(sig)
+    bits = sig.reshape(n, 2, BANDS, ROWS)
+    keys = np.tile(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), (n, 1))
+    sketch = np.zeros((n, BANDS), dtype=np.uint64)
     half = BITS // 2
     with np.errstate(over="ignore"):
-        for f, texts in enumerate((t_texts, s_texts)):
-            doc, h = shingle_hashes(texts)
-            bits = superminhash(doc, h, n, bands * ROWS).view(np.uint64).reshape(n, bands, ROWS)
+        for f in range(2):
             for r in range(ROWS):
-                keys = mix((keys ^ bits[:, :, r]) * _STEP)
-            one = (bits[:, :, 0] * _MIX2) >> np.uint64(63)
+                keys = mix((keys ^ bits[:, f, :, r].astype(np.uint64)) * _STEP)
+            one = (bits[:, f, :, 0] >> 7).astype(np.uint64)
             for i in range(half):  # of the bands after it, one register each
                 sketch |= np.roll(one, -(i + 1), axis=1) << np.uint64(f * half + i)
     return ((keys >> np.uint64(BITS) << np.uint64(BITS)) | sketch).view(np.int64)
 
 
+def sketches(sig: np.ndarray) -> list[np.ndarray]:
+    """Two bits of each of ``SKETCH`` registers a field, as two numbers a field."""
+    return [np.packbits(sig[:, f, :SKETCH] >> i & 1, axis=1, bitorder="little").view(np.int64).reshape(-1) for f in range(2) for i in range(2)]
+
+
 def _banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lo in range(0, b.num_rows, LOT):
             part = b.slice(lo, LOT)
-            keys = band_keys(part.column(1).to_pylist(), part.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), keys.shape[1])), pa.array(keys.reshape(-1))], names=["id", "v"])
-
-
-def sketches(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of each of ``SKETCH`` registers of a signature of its own, as two numbers per text."""
-    doc, h = shingle_hashes(texts)
-    with np.errstate(over="ignore"):
-        sig = mix(superminhash(doc, mix(h + _MIX2), len(texts), SKETCH).view(np.uint64))
-    low, high = ((sig >> np.uint64(i) & np.uint64(1)).astype(np.uint8) for i in (40, 41))
-    return tuple(np.packbits(x, axis=1, bitorder="little").view(np.int64).reshape(-1) for x in (low, high))
+            sig = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(part.num_rows, 2, -1)
+            keys = band_numbers(sig)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), BANDS)), pa.array(keys.reshape(-1))], names=["id", "v"])
 
 
 def forms_of(texts: list[str | None]) -> pa.Array:
@@ -155,16 +161,21 @@ def forms_of(texts: list[str | None]) -> pa.Array:
     return pc.utf8_trim(pc.replace_substring_regex(low, r"[^\pL\pN]+", " "), " ")
 
 
+_FORMS = "id bigint, rep bigint, t string, s string, h binary, sig binary, k1 bigint, k2 bigint, k3 bigint, k4 bigint"
+
+
 def _prepared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``id, rep, t, s`` with the comparison forms, their hash and the title's sketch."""
+    """``id, rep, t, s`` with the comparison forms, their hash, signature and sketches."""
+    names = [c.split()[0] for c in _FORMS.split(", ")]
     for b in batches:
         for lo in range(0, b.num_rows, LOT):
             part = b.slice(lo, LOT)
             t, s = (forms_of(part.column(i).to_pylist()) for i in (2, 3))
             lt, ls = t.to_pylist(), s.to_pylist()
             h = [None if x is None else hashlib.md5(f"{x}\n{y}".encode("utf-8", "surrogatepass"), usedforsecurity=False).digest() for x, y in zip(lt, ls)]
-            k1, k2 = sketches([x or "" for x in lt])
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), t, s, pa.array(h, pa.binary()), pa.array(k1), pa.array(k2)], names=["id", "rep", "t", "s", "h", "k1", "k2"])
+            sig = signatures([x or "" for x in lt], [y or "" for y in ls])
+            cells = [x.tobytes() if y else None for x, y in zip(sig, lt)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), t, s, pa.array(h, pa.binary()), pa.array(cells, pa.binary()), *map(pa.array, sketches(sig))], names=names)
 
 
 def _jaccards(x: list[str], y: list[str], k: int) -> np.ndarray:
@@ -212,7 +223,7 @@ def _verify(threshold: float):
 
 
 def classes(records: DataFrame, id_col: str = "article_id", title: str = "title", snippet: str = "snippet") -> tuple[DataFrame, DataFrame]:
-    """(``member(id, rep)``, ``texts(id, t, s, k1, k2)`` of the representatives with both texts).
+    """(``member(id, rep)``, ``texts(id, t, s, sig, k1, k2, k3, k4)`` of the representatives with both texts).
 
     Copies as stored are found first, on a hash of the raw texts; the comparison form
     is then made once a class, and classes of one form are joined.
@@ -222,13 +233,13 @@ def classes(records: DataFrame, id_col: str = "article_id", title: str = "title"
     rep = raw.groupBy("h").agg(F.min("id").alias("rep"))
     own = F.col("id") == F.col("rep")
     forms = raw.join(rep, "h").select("id", "rep", F.when(own, F.col("t")).alias("t"), F.when(own, F.col("s")).alias("s"))
-    forms = forms.mapInArrow(_prepared, "id bigint, rep bigint, t string, s string, h binary, k1 bigint, k2 bigint")
+    forms = forms.mapInArrow(_prepared, _FORMS)
     forms = materialize(forms.filter("t is null or t <> '' and s <> ''"), "p1-forms")
     first = forms.filter("t is not null")
     several = first.groupBy("h").agg(F.min("id").alias("best"), F.max("id").alias("last")).filter("best < last")
     again = materialize(first.select("h", F.col("id").alias("other")).join(several, "h").filter("other <> best").select("other", "best").distinct(), "p1-again")
     # these are few as a rule; where they are not, the join shuffles
-    texts = first.select("id", "t", "s", "k1", "k2").join(again, F.col("id") == F.col("other"), "left_anti")
+    texts = first.drop("rep", "h").join(again, F.col("id") == F.col("other"), "left_anti")
     copies = forms.filter("t is null").select("id", "rep").join(first.select(F.col("id").alias("of")), F.col("rep") == F.col("of"), "left_semi")
     member = first.select("id", F.col("id").alias("rep")).unionByName(copies).join(again, F.col("rep") == F.col("other"), "left")
     return member.select("id", F.coalesce("best", "rep").alias("rep")).distinct(), texts
@@ -236,17 +247,21 @@ def classes(records: DataFrame, id_col: str = "article_id", title: str = "title"
 
 def links(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All verified pairs ``(a, b)``, a < b, of class representatives; rows of one id count once."""
-    bands = texts.select("id", "t", "s").mapInArrow(_banded, "id bigint, v bigint")
+    bands = texts.select("id", "sig").mapInArrow(_banded, "id bigint, v bigint")
     x = bands.select(F.col("id").alias("a"), F.col("v").alias("v1"))
     # many rows come of each text, which the planner can't know: never broadcast them
     y = bands.select(F.col("id").alias("b"), F.col("v").alias("v2")).hint("merge")
     same = F.shiftright("v1", BITS) == F.shiftright("v2", BITS)
     unlike = F.bit_count(F.col("v1").bitwiseXOR(F.col("v2")))  # the keys are equal
     cand = x.join(y, same & (F.col("a") < F.col("b")) & (unlike <= BITS - LIKE)).select("a", "b").distinct()
-    one = texts.select(F.col("id").alias("a"), F.col("k1").alias("a1"), F.col("k2").alias("a2"))
-    two = texts.select(F.col("id").alias("b"), F.col("k1").alias("b1"), F.col("k2").alias("b2"))
-    differ = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")).bitwiseOR(F.col("a2").bitwiseXOR(F.col("b2"))))
-    close = materialize(cand.join(one, "a").join(two, "b").filter(differ <= SKETCH - AGREE).select("a", "b"), "p1-close")
+    one = texts.select(F.col("id").alias("a"), *(F.col(f"k{i}").alias(f"a{i}") for i in range(1, 5)))
+    two = texts.select(F.col("id").alias("b"), *(F.col(f"k{i}").alias(f"b{i}") for i in range(1, 5)))
+
+    def agrees(i: int, j: int):
+        off = [F.col(f"a{x}").bitwiseXOR(F.col(f"b{x}")) for x in (i, j)]
+        return F.bit_count(off[0].bitwiseOR(off[1])) <= SKETCH - AGREE
+
+    close = materialize(cand.join(one, "a").join(two, "b").filter(agrees(1, 2) & agrees(3, 4)).select("a", "b"), "p1-close")
     one = texts.select(F.col("id").alias("a"), F.col("t").alias("t1"), F.col("s").alias("s1"))
     two = texts.select(F.col("id").alias("b"), F.col("t").alias("t2"), F.col("s").alias("s2"))
     both = close.join(one, "a").join(two, "b").select("a", "b", "t1", "t2", "s1", "s2")
