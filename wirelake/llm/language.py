@@ -3,11 +3,12 @@
 A word is the average of the embeddings of its hashed character n-grams, a sentence
 the average of its words, so that short function words count as much as long ones;
 a linear softmax follows; embeddings and weights are trained together
-by stochastic gradient descent in numpy on at most ``TRAIN_LIMIT`` labelled
-samples. A temperature is fitted on held-out samples, and the confidence below
-which a unit is rejected is set so that ``REJECT_SHARE`` of the held-out ones fall
-below it. Rejected units, names, numbers and code belong to the segment around
-them.
+by stochastic gradient descent in numpy on at most ``TRAIN_LIMIT`` labelled samples a
+language. A temperature is fitted on held-out samples. The confidence below which a
+unit is rejected is calibrated by the number of its words: of held-out runs of so many
+words at most ``WRONG_SHARE`` are wrong above it, so a short sentence counts if its few
+words are clear enough. Rejected units, names, numbers and code belong to the segment
+around them.
 
 As embedding and softmax are linear, a trained model is one logit vector per
 n-gram bucket: a fixed table of ``BUCKETS`` x languages (about 2 MB), which is what
@@ -28,15 +29,16 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wirelake.llm import markup, residue
 
 BUCKETS, DIM, EPOCHS, RATE, BATCH, STRENGTH = 1 << 15, 12, 8, 0.25, 32, 8
-#: the most labelled rows that are read for training: clean samples, labelled articles
-TRAIN_LIMIT, ARTICLE_LIMIT = 20_000, 700
-REJECT_SHARE = 0.002
+#: the most labelled rows a language that are read for training: clean samples, labelled articles
+TRAIN_LIMIT, ARTICLE_LIMIT = 3_000, 100
+#: lengths in words at which rejection is calibrated; the share that may be wrong above it
+LENGTHS, WRONG_SHARE = (1, 2, 3, 4, 6, 9), 0.001
 NGRAMS = range(1, 5)
 SEED = 11
 
@@ -64,12 +66,17 @@ def norm_code(label):
 
 
 def words_of(sentence: str) -> list[str]:
-    """The words that tell a language: names inside a sentence are left out, Han is cut to signs."""
+    """The words that tell a language: names inside a sentence are left out, Han is cut to signs.
+
+    Where most words have a capital it is the writing of a heading and tells no names.
+    """
     out = []
-    for i, w in enumerate(_WORD.findall(sentence)):
+    found = _WORD.findall(sentence)
+    heading = len(found) > 2 and 3 * sum(w[0].isupper() for w in found) > 2 * len(found)
+    for i, w in enumerate(found):
         if _HAN.search(w):
             out += [c for c in w if _HAN.match(c)]
-        elif i == 0 or not w[0].isupper() or w.isupper() and len(w) > 1:
+        elif i == 0 or heading or not w[0].isupper() or w.isupper() and len(w) > 1:
             out.append(w.lower())
     return out
 
@@ -83,7 +90,7 @@ def buckets_of(word: str) -> list[int]:
 class Model:
     """Trained logits per bucket, with temperature and rejection."""
 
-    def __init__(self, langs: list[str], table: np.ndarray, bias: np.ndarray, temperature: float = 1.0, reject: float = 0.0):
+    def __init__(self, langs: list[str], table: np.ndarray, bias: np.ndarray, temperature: float = 1.0, reject: tuple[float, ...] = (0.0,) * len(LENGTHS)):
         self.langs, self.table, self.bias, self.temperature, self.reject = langs, table, bias, temperature, reject
         self.row: dict[str, int] = {}
         self.sums = np.zeros((1024, len(langs)), dtype=np.float32)
@@ -94,6 +101,11 @@ class Model:
     def __setstate__(self, s):
         self.__init__(*s)
 
+    def least(self, words: list[str]) -> float:
+        """The confidence that a unit of these words needs; two Han signs weigh as one word."""
+        n = len(words) // 2 if words and _HAN.match(words[0]) else len(words)
+        return self.reject[max(0, int(np.searchsorted(LENGTHS, n, side="right")) - 1)]
+
     def index(self, word: str) -> int:
         """The place of a word's logits in ``sums``."""
         i = self.row.get(word)
@@ -190,7 +202,7 @@ def train(rows: list[tuple[str, str]], seed: int = SEED, calibrated: bool = True
         return fit(order)
     model = fit(used)
     cal = [(words_of(rows[i][1]), langs.index(rows[i][0])) for i in held]
-    temperature, reject = 1.0, 0.0
+    temperature, reject = 1.0, (0.0,) * len(LENGTHS)
     if cal:
         y = np.array([c for _, c in cal])
 
@@ -200,12 +212,26 @@ def train(rows: list[tuple[str, str]], seed: int = SEED, calibrated: bool = True
 
         temperature = min((0.1, 0.2, 0.35, 0.5, 0.7, 1.0, 1.5, 2.0), key=loss)
         model.temperature = temperature
-        reject = float(np.quantile(model.probabilities([w for w, _ in cal]).max(axis=1), REJECT_SHARE))
+        reject = tuple(rejection(model, cal, n) for n in LENGTHS)
     final = fit(order)
-    final.temperature, final.reject = temperature, min(reject, 0.6)
+    final.temperature, final.reject = temperature, reject
     return final
 
 
+def rejection(model: Model, held: list[tuple[list[str], int]], n: int) -> float:
+    """The confidence above which at most ``WRONG_SHARE`` of the held-out runs of ``n`` words are wrong."""
+    runs = []
+    for words, y in held:
+        k = 2 * n if words and _HAN.match(words[0]) else n
+        runs += [(words[i : i + k], y) for i in range(0, max(1, len(words) - k + 1), max(1, k // 2))]
+    p = model.probabilities([w for w, _ in runs])
+    top, right = p.max(axis=1), p.argmax(axis=1) == np.array([y for _, y in runs])
+    order = np.argsort(-top, kind="stable")
+    bad = np.cumsum(~right[order]) / np.arange(1, len(order) + 1)
+    fine = np.flatnonzero(bad <= WRONG_SHARE)
+    return float(top[order[fine[-1]]]) if len(fine) else 1.0
+
+
 def widened(seed_rows: list[tuple[str, str]], labelled: list[tuple[str, str, str]]) -> list[tuple[str, str]]:
     """The clean samples and the units of labelled articles whose label the first model confirms."""
     first = train(seed_rows, calibrated=False)
@@ -220,22 +246,29 @@ def widened(seed_rows: list[tuple[str, str]], labelled: list[tuple[str, str, str
 
 
 def read_samples(samples: DataFrame) -> list[tuple[str, str]]:
-    return [(r["lang"], r["text"]) for r in samples.select("lang", "text", "sample_id").orderBy("sample_id").limit(TRAIN_LIMIT).collect()]
+    """``TRAIN_LIMIT`` samples of each language: those with the lowest hashes."""
+    h = F.xxhash64("sample_id", "text")
+    some = samples.filter("lang is not null and text is not null").select("lang", "text", F.row_number().over(Window.partitionBy("lang").orderBy(h)).alias("k"))
+    return [(r["lang"], r["text"]) for r in some.filter(F.col("k") <= TRAIN_LIMIT).orderBy("lang", "k").collect()]
 
 
 def read_labelled(articles: DataFrame) -> list[tuple[str, str, str]]:
-    """``ARTICLE_LIMIT`` articles with a stated language: those with the lowest hashes of their ids.
+    """About ``ARTICLE_LIMIT`` articles of each stated language, at most twice as many.
 
-    The bound is found on the hashes alone, so whole rows leave the executors only
-    for the articles that are taken.
+    A language's share of the hash range is set by its number of articles, so whole
+    rows leave the executors only for the articles that are taken.
     """
-    h = F.xxhash64("article_id")
-    some = articles.filter(norm_code(F.col("source_lang")) != "")
-    bound = some.select(h.alias("h")).orderBy("h").limit(ARTICLE_LIMIT).agg(F.max("h")).first()[0]
-    if bound is None:
-        return []
-    rows = some.filter(h <= bound).select(norm_code(F.col("source_lang")).alias("lang"), "title", "snippet").limit(ARTICLE_LIMIT).collect()
-    return [(r["lang"], r["title"], r["snippet"]) for r in rows]
+    lang, span = norm_code(F.col("source_lang")), 1 << 30
+    h = F.pmod(F.xxhash64("article_id"), F.lit(span))
+    counts = articles.select(lang.alias("lang")).filter("lang <> ''").groupBy("lang").count().orderBy(F.desc("count")).limit(100).collect()
+    bound = F.coalesce(*[F.when(lang == r["lang"], F.lit(min(span, span * ARTICLE_LIMIT // r["count"] + 1))) for r in counts], F.lit(0)) if counts else F.lit(0)
+    rows = articles.filter(h < bound).select(lang.alias("lang"), "title", "snippet", h.alias("h")).orderBy("h", "title", "snippet").collect()
+    out, taken = [], {}
+    for r in rows:
+        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
+        if taken[r["lang"]] <= 2 * ARTICLE_LIMIT:
+            out.append((r["lang"], r["title"], r["snippet"]))
+    return out
 
 
 def units_of(title: str | None, snippet: str | None) -> list[str]:
@@ -250,25 +283,24 @@ def units_of(title: str | None, snippet: str | None) -> list[str]:
     return [u for u in out if u]
 
 
-MIN_WORDS, MIN_HAN, MIN_OPEN = 4, 6, 8
+#: an open line (no mark at its end) of so many words counts as a full sentence
+OPEN_WORDS = 8
 _FULL = re.compile(r"[.!?…。！？؟:][\"”’»)」』）]*\s*\Z")
 
 
 def _judged(i: int, unit: str, ws: list[str]) -> bool:
     """Whether a unit can be a segment: the title, a closed sentence, or an open line of some length."""
-    han = bool(ws and _HAN.match(ws[0]))
-    if i == 0 or _FULL.search(unit):
-        return len(ws) >= (MIN_HAN if han else MIN_WORDS)
-    return len(ws) >= (2 * MIN_HAN if han else MIN_OPEN)
+    n = len(ws) * 2 // 3 if ws and _HAN.match(ws[0]) else len(ws)
+    return bool(ws) and (i == 0 or bool(_FULL.search(unit)) or n >= OPEN_WORDS)
 
 
-def segments(texts: list[str], units: list[list[str]], probs: np.ndarray, langs: list[str], reject: float) -> list[tuple[str, float, int, int]]:
+def segments(texts: list[str], units: list[list[str]], probs: np.ndarray, model: Model) -> list[tuple[str, float, int, int]]:
     """(language, confidence, first unit, last unit) of the maximal runs in one language."""
     out: list[list] = []
     for i, ws in enumerate(units):
         k = int(probs[i].argmax())
         p = float(probs[i, k])
-        if not _judged(i, texts[i], ws) or p < reject:
+        if not _judged(i, texts[i], ws) or p < model.least(ws):
             continue
         if out and out[-1][0] == k:
             out[-1][1] += p * len(ws)
@@ -276,12 +308,11 @@ def segments(texts: list[str], units: list[list[str]], probs: np.ndarray, langs:
             out[-1][4] = i
         else:
             out.append([k, p * len(ws), len(ws), i, i])
-    if not out and len(units):
-        # nothing long enough: all words together
+    if not out and any(units):
+        # nothing clear enough by itself: all words together
         k = int(probs.sum(axis=0).argmax())
-        if any(units):
-            out.append([k, float(probs[:, k].mean()), 1, 0, len(units) - 1])
-    return [(langs[k], c / n, a, b) for k, c, n, a, b in out]
+        out.append([k, float(probs[:, k].mean()), 1, 0, len(units) - 1])
+    return [(model.langs[k], c / n, a, b) for k, c, n, a, b in out]
 
 
 @lru_cache(maxsize=2)
@@ -315,7 +346,7 @@ def label_segments(articles: DataFrame, samples: DataFrame) -> DataFrame:
                 probs = model.probabilities([u for us in units for u in us])
                 rows, at = [], 0
                 for rid, lab, ts, us in zip(ids, labels, texts, units):
-                    segs = segments(ts, us, probs[at : at + len(us)], model.langs, model.reject)
+                    segs = segments(ts, us, probs[at : at + len(us)], model)
                     at += len(us)
                     rows += [(rid, lab, i + 1, len(segs), lang, c) for i, (lang, c, _, _) in enumerate(segs)]
                 cols = list(zip(*rows)) if rows else [[] for _ in _OUT]
@@ -325,9 +356,14 @@ def label_segments(articles: DataFrame, samples: DataFrame) -> DataFrame:
     return cols.mapInArrow(run, "article_id bigint, source_lang string, no int, n int, lang string, confidence double")
 
 
-def p5_cases(articles: DataFrame, samples: DataFrame) -> DataFrame:
-    """``article_id, seg_no, lang, confidence`` of wrongly labelled and mixed articles."""
-    bad = residue.residue(residue.article_records(articles)).select(F.col("rec_id").alias("article_id"))
+def p5_cases(articles: DataFrame, samples: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """``article_id, seg_no, lang, confidence`` of wrongly labelled and mixed articles.
+
+    Residue is told over both tables, as a label can reach an article through an item.
+    """
+    records = residue.article_records(articles)
+    bad = residue.residue(records) if items is None else residue.p4_found(articles, items).filter("rec_table = 'articles'")
+    bad = bad.select(F.col("rec_id").alias("article_id"))
     seg = label_segments(articles, samples).join(bad, "article_id", "left_anti")
     stated = F.when(F.col("source_lang").isNull(), "pt").otherwise(norm_code(F.col("source_lang")))
     return seg.filter((F.col("n") > 1) | (stated != F.col("lang"))).select(
@@ -335,8 +371,8 @@ def p5_cases(articles: DataFrame, samples: DataFrame) -> DataFrame:
     )
 
 
-def p5_found(articles: DataFrame, samples: DataFrame) -> DataFrame:
-    return p5_cases(articles, samples).select("article_id", "seg_no", "lang")
+def p5_found(articles: DataFrame, samples: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    return p5_cases(articles, samples, items).select("article_id", "seg_no", "lang")
 
 
 def accuracy(model: Model, rows: list[tuple[str, str]]) -> pd.DataFrame:

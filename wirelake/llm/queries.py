@@ -91,12 +91,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query("p5_found")
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return language.p5_found(table(spark, d, "articles"), table(spark, d, "lang_samples"))
+    return language.p5_found(table(spark, d, "articles"), table(spark, d, "lang_samples"), table(spark, d, "raw_items"))
 
 
 @query("p5_cases")
 def p5_cases(spark: SparkSession, d: str) -> DataFrame:
-    return language.p5_cases(table(spark, d, "articles"), table(spark, d, "lang_samples"))
+    return language.p5_cases(table(spark, d, "articles"), table(spark, d, "lang_samples"), table(spark, d, "raw_items"))
 
 
 @query("p6_found", sitelines.P6_SQL)
