@@ -92,6 +92,12 @@ def test_superminhash_estimates_similarity():
         assert (sig[0] == sig[1]).mean() == pytest.approx(common / (200 - common), abs=0.07)
 
 
+def test_similarities_are_exact():
+    rows = corpus(9, 60)[: nd.LOT]
+    x, y = [r[2] for r in rows] + ["", "ab", "ab", "", "aaaaaaaa"], [r[2] for r in rows[1:] + rows[:1]] + ["", "ab", "abc", "x", "aaaaa"]
+    assert np.allclose(nd.similarities(x, y), nd._jaccards(x, y, nd.SHINGLE))
+
+
 def test_early_stop_is_exact():
     """Each register ends with what the full walk over all steps would give."""
     h = nd.mix(np.arange(1, 31, dtype=np.uint64))
@@ -103,7 +109,7 @@ def test_early_stop_is_exact():
         for step in range(m):
             with np.errstate(over="ignore"):
                 r = nd.mix(np.array([e + np.uint64(2 * step + 1) * nd._STEP]))[0]
-            k = step + int(nd.mix(np.array([r ^ nd._MIX2]))[0] % np.uint64(m - step))
+            k = step + (int(nd.mix(np.array([r ^ nd._MIX2]))[0]) >> 32) * (m - step) // (1 << 32)
             p[step], p[k] = p[k], p[step]
             want[p[step]] = min(want[p[step]], step + float(r >> np.uint64(11)) * 2.0**-53)
     assert np.allclose(sig, want)

@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -101,7 +100,7 @@ def superminhash(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> np.ndar
             if not len(h):
                 break
             r = mix(h + np.uint64(2 * step + 1) * _STEP)
-            k = step + (mix(r ^ _MIX2) % np.uint64(m - step)).astype(np.int16)
+            k = step + ((mix(r ^ _MIX2) >> np.uint64(32)) * np.uint64(m - step) >> np.uint64(32)).astype(np.int16)
             # register now at place k of the element's permutation: undo earlier swaps
             at = k.copy()
             for j in range(step - 1, -1, -1):
@@ -192,32 +191,30 @@ def _jaccards(x: list[str], y: list[str], k: int) -> np.ndarray:
     return out
 
 
-def shingle_set(text: str) -> frozenset[str]:
-    return frozenset(text[j : j + SHINGLE] for j in range(len(text) - SHINGLE + 1)) if len(text) >= SHINGLE else frozenset({text} - {""})
+def similarities(x: list[str], y: list[str]) -> np.ndarray:
+    """Similarity of the shingle sets of two lists of at most ``LOT`` texts, pair by pair.
+
+    Sets are told by 52-bit hashes: sorted with the number of the pair in the low bits,
+    equal neighbours of the two sides are what both have.
+    """
+    low, sides = np.uint64(0xFFF), []
+    for texts in (x, y):
+        doc, h = shingle_hashes(texts)
+        sides.append(np.unique((h & ~low) | doc.astype(np.uint64)))
+    n = sum(np.bincount((s & low).astype(np.int64), minlength=len(x)) for s in sides)
+    both = np.sort(np.concatenate(sides), kind="stable")
+    both = np.bincount((both[1:][both[1:] == both[:-1]] & low).astype(np.int64), minlength=len(x))
+    return both / np.maximum(n - both, 1)
 
 
 def _verify(threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = lru_cache(maxsize=4000)(shingle_set)  # rows of one record come together
-
-        def similar(x: list[str], y: list[str]) -> pa.Array:
-            out = []
-            for a, b in zip(x, y):
-                if a == b:
-                    out.append(bool(a))
-                    continue
-                p, q = sets(a), sets(b)
-                if min(len(p), len(q)) < threshold * max(len(p), len(q)) - 1e-9:
-                    out.append(False)
-                    continue
-                both = len(p & q)
-                out.append(both / (len(p) + len(q) - both) >= threshold if both else False)
-            return pa.array(out, pa.bool_())
-
         for b in batches:
-            some = b.filter(similar(b.column(2).to_pylist(), b.column(3).to_pylist()))
-            some = some.filter(similar(some.column(4).to_pylist(), some.column(5).to_pylist()))
-            yield some.select(["a", "b"])
+            for lo in range(0, b.num_rows, LOT):
+                part = b.slice(lo, LOT)
+                for i, j in ((2, 3), (4, 5)):
+                    part = part.filter(pa.array(similarities(part.column(i).to_pylist(), part.column(j).to_pylist()) >= threshold))
+                yield part.select(["a", "b"])
 
     return run
 
