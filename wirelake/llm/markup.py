@@ -1,37 +1,43 @@
 """Markup residue to clean text, with page differencing (problem 2).
 
-Records of one host are ordered by URL path, so that the neighbour is the page
-with the nearest path. Each text is converted from HTML, Markdown, wiki or LaTeX
-to plain text that keeps headings (``# ``), lists (``- ``), code (fenced) and
-formulas (``$``). The clean lines of a page and its neighbour are aligned by their
-longest common subsequence; shared lines are the site's and not the page's, and
-are deleted. Lines of structure (fences, blank lines) are never deleted, and
-nothing is deleted where the neighbour serves the same path, or shares more than
-half of the page's characters: that is a copy, not a template.
+Each text is converted from HTML, Markdown, wiki or LaTeX to plain text that keeps
+headings (``# ``), lists (``- ``), code (fenced) and formulas (``$``). A page is the
+records of one URL path; its neighbour is the page of the same host, next before or
+next after it in path order, whose path has more leading characters in common (the one
+before, if both have as many). The clean lines of a record and of its neighbour page
+are aligned by their longest common subsequence; shared lines are the site's and not
+the page's, and are deleted. Lines of structure (fences, blank lines) and of code are
+never deleted, and nothing is deleted where nothing else would be left: such a record
+is a copy of its neighbour.
 
 What differencing can't do is tell markup from prose, so the kinds of markup come
 from the conversion's own patterns, over the whole raw text, shared lines too.
 
-Hosts are split by range partitions of (host, path), so no task holds a whole
-host; the first page of a host (or of a partition) pairs with the second.
+Neighbours are found on the keys alone, in range partitions whose borders are then
+joined, so the result is the same for any number of partitions; texts meet their
+neighbour's line hashes in a join that adaptive execution splits where a path is hot.
 
 Defined results: NULL, empty and blank texts hold no markup and give empty clean
-text; a NULL or unreadable URL has the empty host and is ordered by its id;
-repeated rows are kept; rows with a NULL id are kept.
+text; a NULL or unreadable URL has no host and no neighbour; of several records of a
+path the first by table and id stands for the page; repeated rows are kept; rows with
+a NULL id are kept.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
-import pickle
 import re
-import tempfile
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wirelake.session import materialize
+
 # Element and command names that count as markup.
 _ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]{1,31}|#\d{1,7}|#[xX][0-9A-Fa-f]{1,6});"
 _COMMANDS = "item|section|subsection|emph|textbf|textit|cite|ref|label|href|url|frac|sqrt|sum|int|times|cdot|leq|geq|Delta|alpha|beta|mathrm|begin|end|footnote|caption|hline|par|quad|left|right|text"
@@ -188,7 +194,35 @@ def clean(text: str | None, found: list[str]) -> str:
     return _KEPT.sub(lambda m: kept[int(m[1])], t) if kept else t
 
 
-def common_lines(a: list[str], b: list[str]) -> list[int]:
+def _lengths(a: list, b: list) -> np.ndarray:
+    """Lengths of the longest common subsequence of ``a`` with each prefix of ``b``, bit-parallel."""
+    at: dict = {}
+    for j, x in enumerate(b):
+        at[x] = at.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    v = full
+    for x in a:
+        u = v & at.get(x, 0)
+        v = (v + u | v - u) & full
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(b) // 8 + 1, "little"), dtype=np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def _halves(a: list, b: list, lo: int, out: list[int]) -> None:
+    """Appends the positions (plus ``lo``) of a common subsequence in ``a``, in linear space."""
+    if not a or not b:
+        return
+    if len(a) == 1:
+        if a[0] in b:
+            out.append(lo)
+        return
+    mid = len(a) // 2
+    cut = int(np.argmax(_lengths(a[:mid], b) + _lengths(a[mid:][::-1], b[::-1])[::-1]))
+    _halves(a[:mid], b[:cut], lo, out)
+    _halves(a[mid:], b[cut:], lo + mid, out)
+
+
+def common_lines(a: list, b: list) -> list[int]:
     """Positions in ``a`` of a longest common subsequence with ``b`` (equal ends first)."""
     lo = 0
     while lo < len(a) and lo < len(b) and a[lo] == b[lo]:
@@ -197,131 +231,131 @@ def common_lines(a: list[str], b: list[str]) -> list[int]:
     while ea > lo and eb > lo and a[ea - 1] == b[eb - 1]:
         ea, eb = ea - 1, eb - 1
     out = [*range(lo), *range(ea, len(a))]
-    mid = set(a[lo:ea]) & set(b[lo:eb])
-    if mid:
+    both = set(a[lo:ea]) & set(b[lo:eb])
+    if both:
         # only lines that occur on both sides can be part of the subsequence
-        x = [i for i in range(lo, ea) if a[i] in mid]
-        y = [s for s in b[lo:eb] if s in mid]
-        row = [0] * (len(y) + 1)
-        table = [row]
-        for i in reversed(x):
-            new = [0] * (len(y) + 1)
-            for j in range(len(y) - 1, -1, -1):
-                new[j] = row[j + 1] + 1 if a[i] == y[j] else max(row[j], new[j + 1])
-            table.append(row := new)
-        table.reverse()
-        i = j = 0
-        while i < len(x) and j < len(y):
-            if a[x[i]] == y[j]:
-                out.append(x[i])
-                i, j = i + 1, j + 1
-            elif table[i + 1][j] >= table[i][j + 1]:
-                i += 1
-            else:
-                j += 1
+        x = [i for i in range(lo, ea) if a[i] in both]
+        found: list[int] = []
+        _halves([a[i] for i in x], [s for s in b[lo:eb] if s in both], 0, found)
+        out += [x[i] for i in found]
     return sorted(out)
 
 
 _STRUCTURE = re.compile(r"\s*(?:```.*|~~~.*)?\s*\Z")
 
 
-def without_shared(lines: list[str], other: list[str]) -> tuple[list[str], int]:
-    """``lines`` less those shared with the neighbour's, and how many went."""
-    if not lines or not other or len(lines) == 1 == len(other):
-        return lines, 0
-    if not set(lines) & set(other):
+def without_shared(lines: list[str], mine: list, other: list) -> tuple[list[str], int]:
+    """``lines`` (told apart by ``mine``) less those shared with ``other``, and how many went."""
+    if not other or not set(mine) & set(other):
         return lines, 0
-    drop = {i for i in common_lines(lines, other) if not _STRUCTURE.match(lines[i])}
-    if 2 * sum(len(lines[i]) for i in drop) > sum(map(len, lines)):
-        return lines, 0
-    code, out, gone = False, [], 0
+    shared = set(common_lines(mine, other))
+    code, out, gone, own = False, [], 0, False
     for i, s in enumerate(lines):
+        structure = bool(_STRUCTURE.match(s))
         if s.lstrip().startswith("```"):
             code = not code
-        if i in drop and not code:
+        if i in shared and not structure and not code:
             gone += 1
         else:
             out.append(s)
-    return out, gone
+            own = own or not structure
+    return (out, gone) if own else (lines, 0)
 
 
-_OUT = pa.schema([("rec_table", pa.string()), ("rec_id", pa.int64()), ("kinds", pa.list_(pa.string())), ("shared_lines", pa.int32()), ("clean", pa.string())])
+def line_hashes(lines: list[str]) -> list[int]:
+    """What tells lines apart in the alignment; blank ones are all alike."""
+    return [int.from_bytes(hashlib.blake2b(s.strip().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) for s in lines]
 
 
-def _difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by host and path: kinds, clean text, lines shared with the neighbour."""
-    held = None  # the records of a host's first path, which wait for the next path
-    before = last = None  # last page of the path before; page before this one
-    rows: list[tuple] = []
-
-    def batch() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _OUT)], schema=_OUT)
-        rows.clear()
-        return out
-
-    def release(other: tuple | None) -> Iterator[pa.RecordBatch]:
-        for page in _spilled(held):
-            rows.append(_finish(page, other))
-            if len(rows) >= 1000:
-                yield batch()
+_CLEANED = "host string, path string, rec_table string, rec_id bigint, kinds array<string>, clean string, hashes array<bigint>"
+_CLEANED_ARROW = pa.schema([("host", pa.string()), ("path", pa.string()), ("rec_table", pa.string()), ("rec_id", pa.int64()), ("kinds", pa.list_(pa.string())), ("clean", pa.string()), ("hashes", pa.list_(pa.int64()))])
+
+
+def _convert(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo in range(0, b.num_rows, 1000):
+            part = b.slice(lo, 1000)
+            texts = part.column(4).to_pylist()
+            found = [kinds(t) for t in texts]
+            plain = [clean(t, ks) for t, ks in zip(texts, found)]
+            hashes = [line_hashes(t.split("\n")) for t in plain]
+            new = (pa.array(x, f.type) for x, f in zip((found, plain, hashes), list(_CLEANED_ARROW)[4:]))
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(4)), *new], schema=_CLEANED_ARROW)
+
 
+def _common(path, other):
+    """How many leading characters two path columns share; other paths differ somewhere."""
+    same = F.zip_with(F.split(path, ""), F.split(other, ""), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    return F.coalesce(F.array_position(same, F.lit(False)), F.lit(0))
+
+
+_LINK = "part int, edge string, host string, path string, before string, after string"
+_LINK_ARROW = pa.schema([("part", pa.int32()), ("edge", pa.string()), ("host", pa.string()), ("path", pa.string()), ("before", pa.string()), ("after", pa.string())])
+
+
+def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted keys with the keys before and after them; ``edge`` marks the ends of the partition."""
+    part = TaskContext.get().partitionId()
+    held, first = None, True  # the key that waits for the one after it
     for b in batches:
-        for host, path, tab, rid, text in zip(*(c.to_pylist() for c in b.columns)):
-            ks = kinds(text)
-            page = (host, path, tab, rid, ks, clean(text, ks).split("\n"))
-            if last is None or last[0] != host:
-                if held is not None:
-                    yield from release(None)
-                # small holds stay in memory, large ones go to a file
-                held, before = tempfile.SpooledTemporaryFile(1 << 22), None
-            elif last[1] != path:
-                if held is not None:
-                    yield from release(page)
-                    held = None
-                before = last
-            last = page
+        rows = []
+        for key in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if held is not None:
-                pickle.dump(page, held)
-            else:
-                rows.append(_finish(page, before))
+                rows.append((part, "first" if first else None, *held[:2], held[2], key[1] if key[0] == held[0] else None))
+                first = False
+            held = (*key, held[1] if held is not None and held[0] == key[0] else None)
         if rows:
-            yield batch()
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _LINK_ARROW)], schema=_LINK_ARROW)
     if held is not None:
-        yield from release(None)
-    if rows:
-        yield batch()
+        yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip((part, "both" if first else "last", *held, None), _LINK_ARROW)], schema=_LINK_ARROW)
+
+
+def neighbours(keys: DataFrame, parts: int | None = None) -> DataFrame:
+    """Distinct ``keys(host, path)`` to ``host, path, other``: the neighbour's path, if the host has one."""
+    order = ["host", "path"]
+    ranged = keys.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order)
+    linked = materialize(ranged.mapInArrow(_linked, _LINK), "p2-links")
+    # two rows a partition: the borders, in order
+    edges = linked.filter("edge is not null").select("part", "edge", "host", "path").orderBy("host", "path").collect()
+    fixed = {}
+    for x, y in zip(edges, edges[1:]):
+        if x["part"] != y["part"] and x["host"] == y["host"]:
+            fixed.setdefault((x["host"], x["path"]), [None, None])[1] = y["path"]
+            fixed.setdefault((y["host"], y["path"]), [None, None])[0] = x["path"]
+    rows = [(*k, *v) for k, v in fixed.items()]
+    fix = keys.sparkSession.createDataFrame(rows, "host string, path string, b string, a string")
+    whole = linked.filter("edge is null").select("host", "path", "before", "after").unionByName(
+        linked.filter("edge is not null").join(F.broadcast(fix), order, "left").select("host", "path", F.coalesce("before", "b").alias("before"), F.coalesce("after", "a").alias("after"))
+    )
+    common = _common(F.col("path"), F.col("after")) > _common(F.col("path"), F.col("before"))
+    other = F.when(F.col("before").isNull() | (F.col("after").isNotNull() & common), F.col("after")).otherwise(F.col("before"))
+    return whole.select("host", "path", other.alias("other")).filter("other is not null")
 
 
-def _spilled(f) -> Iterator[tuple]:
-    """The pages written to ``f``, one at a time; closes it."""
-    f.seek(0)
-    with f:
-        while True:
-            try:
-                yield pickle.load(f)
-            except EOFError:
-                return
+_OUT = "rec_table string, rec_id bigint, kinds array<string>, shared_lines int, clean string"
+_OUT_ARROW = pa.schema([("rec_table", pa.string()), ("rec_id", pa.int64()), ("kinds", pa.list_(pa.string())), ("shared_lines", pa.int32()), ("clean", pa.string())])
 
 
-def _finish(page: tuple, other: tuple | None) -> tuple:
-    host, path, tab, rid, ks, lines = page
-    gone = 0
-    if other is not None and other[0] == host and other[1] != path:
-        lines, gone = without_shared(lines, other[5])
-    return tab, rid, ks, gone, "\n".join(lines).strip()
+def _difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts, mine, others = (b.column(i).to_pylist() for i in (3, 4, 5))
+        done = [without_shared(t.split("\n"), m, o) if o else (None, 0) for t, m, o in zip(texts, mine, others)]
+        plain = [t if lines is None else "\n".join(lines).strip() for t, (lines, _) in zip(texts, done)]
+        yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array([n for _, n in done], pa.int32()), pa.array(plain, pa.string())], schema=_OUT_ARROW)
 
 
-def difference(records: DataFrame) -> DataFrame:
+def difference(records: DataFrame, parts: int | None = None) -> DataFrame:
     """``records(rec_table, rec_id, url, text)`` to ``rec_table, rec_id, kinds, shared_lines, clean``."""
     host = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:www\.)?([^/?#]*)([^?#]*)", 1)
     path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:www\.)?([^/?#]*)([^?#]*?)/*(?:[?#].*)?$", 2)
-    order = ["host", "path", "rec_table", "rec_id"]
     pages = records.select(F.lower(host).alias("host"), path.alias("path"), "rec_table", F.col("rec_id").cast("bigint").alias("rec_id"), "text")
-    return (
-        pages.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(_difference, "rec_table string, rec_id bigint, kinds array<string>, shared_lines int, clean string")
-    )
+    pages = materialize(pages.mapInArrow(_convert, _CLEANED), "p2-clean")
+    first = pages.filter("host <> ''").groupBy("host", "path").agg(F.min_by("hashes", F.struct("rec_table", "rec_id", "hashes")).alias("hashes"))
+    first = materialize(first, "p2-pages")
+    link = neighbours(first.select("host", "path"), parts)
+    other = link.join(first.select("host", F.col("path").alias("other"), F.col("hashes").alias("theirs")), ["host", "other"]).select("host", "path", "theirs")
+    both = pages.join(other, ["host", "path"], "left").select("rec_table", "rec_id", "kinds", "clean", "hashes", "theirs")
+    return both.mapInArrow(_difference, _OUT)
 
 
 def both_tables(articles: DataFrame, items: DataFrame) -> DataFrame:
