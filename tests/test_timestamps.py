@@ -96,6 +96,37 @@ def test_unknown_source_follows_its_sequence(spark):
     assert got[2] == us(2026, 5, 4, 10)
 
 
+def test_all_readings_are_candidates():
+    """Both orders, site and UTC wall time, both passes of a repeated hour, both uses of an abbreviation."""
+    read = lambda v, zone, first=True: {t for t, _, _ in ts.interpretations(v, zone, first, False)}
+    assert read("2025-11-02 01:30:00", NY) == {us(2025, 11, 2, 5, 30), us(2025, 11, 2, 6, 30), us(2025, 11, 2, 1, 30)}
+    assert read("01/12/2026 00:00 UTC", NY) == {us(2026, 12, 1), us(2026, 1, 12)}
+    assert read("2026-02-20 03:39 CST", "Asia/Shanghai") == set() or len(read("20 February 2026 03:39 CST", "Asia/Shanghai")) == 2
+    assert read("2026-02-20 03:39:00", None) == {us(2026, 2, 20, 3, 39)}
+
+
+def test_registry_rule_holds_against_any_sequence(spark):
+    """Where the registry knows the site no run of records outweighs it."""
+    reg = spark.createDataFrame([("s", "UTC", True)], "domain string, zone_id string, day_first boolean")
+    rows = [("t", i, "f", "s", f"0{1 + i % 9}/01/2026") for i in range(60)]
+    df = spark.createDataFrame(rows, "rec_table string, rec_id long, rec_field string, src string, val string")
+    assert {r.rec_id: r.utc_us for r in ts.resolve(df, reg).collect()} == {i: us(2026, 1, 1 + i % 9) for i in range(60)}
+
+
+def test_pieces_follow_the_order_and_not_the_ids(spark):
+    """Ids like hashes: pieces hold about ``chunk`` records all the same."""
+    rows = [("t", "f", "s", i * 1_000_003 % 4096) for i in range(3000)]
+    got = ts.pieces(spark.createDataFrame(rows, "rec_table string, rec_field string, src string, granule long"), 500, 50)
+    per = {}
+    n = {g: 0 for *_, g in rows}
+    for *_, g in rows:
+        n[g] += 1
+    for r in got.collect():
+        per.setdefault(r.piece, []).append((n[r.granule], r.warm))
+    assert sorted(per) == list(range(6)) and all(450 <= sum(k for k, _ in v) <= 550 for v in per.values())
+    assert all(50 <= sum(k for k, w in v if w) <= 60 for p, v in per.items() if p < 5) and not any(w for _, w in per[5])
+
+
 def test_edges_and_chunks(spark):
     reg = spark.createDataFrame([("s", SP, True, "x")], "domain string, zone_id string, day_first boolean, val string")
     rows = [("t", None if i == 5 else i, "published_at", None if i == 7 else "s", None if i == 3 else f"{1 + i % 28:02d}/05/2026 08:00", 9) for i in range(60)]

@@ -1,19 +1,25 @@
 """Mixed timestamp notations to UTC instants (problem 3).
 
-Each value gets the list of all instants it can denote (order of day and month,
-zone). One of them is chosen by Viterbi decoding along the record order of its
-source: an interpretation costs what speaks against it in the source's registry
-row, a step costs for a change of notation and for a jump back in time.
+Each value gets the list of all instants it can denote: both orders of day and month,
+wall time of the site and UTC where no zone is written, both passes of an hour that
+occurs twice, all known uses of a zone abbreviation. One of them is chosen by Viterbi
+decoding along the record order of its source: an interpretation costs what speaks
+against it in the source's registry row, a step costs for a change of notation and for
+a jump back in time.
 
-Sequences are cut into id ranges of ``CHUNK`` records; each range also sees the
-last ``HALO`` ids before it, so that no task holds a whole source and the
-decoder still starts warm.
+The registry is a prior like the others. What it speaks against costs ``AGAINST`` = 4;
+one wrong reading can save at most two steps, 3 in all, so where the registry knows
+the site its rule holds, and where it doesn't the sequence decides.
+
+Sequences are cut into pieces of about ``CHUNK`` records by their order, whatever the
+ids are; each piece also sees about ``HALO`` records before it, so that no task holds
+a whole source and the decoder still starts warm.
 
 Defined results: a NULL value gives no row; blank, relative ("2 days ago"),
 undated and impossible values give a NULL instant (no row in ``p3_found``); an
 unknown or NULL source counts as UTC, both orders of day and month possible,
-day first preferred; rows with a NULL id are decoded first in their sequence;
-repeated rows are all kept.
+day first preferred; rows with a NULL id have no place in the order and are decoded
+by themselves; repeated rows are all kept.
 """
 
 from __future__ import annotations
@@ -25,11 +31,13 @@ from functools import lru_cache
 from zoneinfo import ZoneInfo
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = 20_000
 HALO = 1_000
+#: steps of a source's id range whose records are counted to cut it
+GRANULES = 4096
 
 # Month names as written in the seven languages of the data.
 MONTHS = [
@@ -68,7 +76,7 @@ _ZONE = re.compile(r"\s*\(?\s*(?:(Z|UTC|GMT)\b(?:\s*([+-])(\d{1,2})(?::?(\d\d))?
 _EPOCH_DAY = date(1970, 1, 1).toordinal()
 
 #: what speaks against an interpretation, and against a step between two records
-AGAINST_REGISTRY, LESS_USUAL, SWITCH, BACKWARDS = 40.0, 0.5, 1.0, 0.5
+AGAINST, LESS_USUAL, SWITCH, BACKWARDS = 4.0, 0.5, 1.0, 0.5
 JUMP_US = 86_400_000_000
 
 
@@ -81,14 +89,17 @@ def zone_of(name: str | None) -> ZoneInfo | None:
 
 
 @lru_cache(maxsize=200_000)
-def _wall_offset(zone: ZoneInfo, y: int, mo: int, d: int, h: int, mi: int) -> int:
-    """Seconds east of UTC at a wall time; the first of two, the old offset inside a gap."""
-    return int(datetime(y, mo, d, h, mi, tzinfo=zone).utcoffset().total_seconds())
+def _wall_offsets(zone: ZoneInfo, y: int, mo: int, d: int, h: int, mi: int) -> tuple[int, ...]:
+    """Seconds east of UTC at a wall time: of the first of two, then of the second; the old offset inside a gap."""
+    first = int(datetime(y, mo, d, h, mi, tzinfo=zone).utcoffset().total_seconds())
+    second = int(datetime(y, mo, d, h, mi, tzinfo=zone, fold=1).utcoffset().total_seconds())
+    return (first, second) if second < first else (first,)
 
 
 @lru_cache(maxsize=50_000)
-def _named_offset(abbr: str, zone: ZoneInfo | None, y: int, mo: int, d: int, h: int, mi: int) -> int | None:
-    """Seconds of a zone abbreviation as the site's zone uses it."""
+def _named_offsets(abbr: str, zone: ZoneInfo | None, y: int, mo: int, d: int, h: int, mi: int) -> tuple[int, ...]:
+    """Seconds of a zone abbreviation: as the site's zone uses it, then as it is used elsewhere."""
+    out = []
     if zone is not None:
         when = datetime(y, mo, d, h, mi)
         for shift in (0, -180, 180, -90, 90):
@@ -99,8 +110,10 @@ def _named_offset(abbr: str, zone: ZoneInfo | None, y: int, mo: int, d: int, h:
             for fold in (0, 1):
                 t = near.replace(tzinfo=zone, fold=fold)
                 if t.tzname() == abbr:
-                    return int(t.utcoffset().total_seconds())
-    return OFFSETS[abbr] * 60 if abbr in OFFSETS else None
+                    out.append(int(t.utcoffset().total_seconds()))
+    if abbr in OFFSETS:
+        out.append(OFFSETS[abbr] * 60)
+    return tuple(dict.fromkeys(out[:1] + out[-1:]))
 
 
 def interpretations(value: str | None, zone_id: str | None, day_first: bool | None, naive_utc: bool) -> list[tuple[int, str, float]]:
@@ -131,7 +144,7 @@ def interpretations(value: str | None, zone_id: str | None, day_first: bool | No
             dates = [(y, b, a, "dmy.", 0.0)]
         else:
             known = day_first is not None
-            against = AGAINST_REGISTRY if known else LESS_USUAL
+            against = AGAINST if known else LESS_USUAL
             first = day_first if known else True
             dates = [(y, b, a, "dmy" + m[2], 0.0 if first else against), (y, a, b, "mdy" + m[2], against if first else 0.0)]
     else:
@@ -152,29 +165,29 @@ def interpretations(value: str | None, zone_id: str | None, day_first: bool | No
     if h > 23 or mi > 59 or sec > 59:
         return []
     z = _ZONE.match(rest) if zoned else None
-    out = []
+    zone = zone_of(zone_id)
+    out: dict[int, tuple[int, str, float]] = {}
     for y, mo, d, form, cost in dates:
         try:
             day = date(y, mo, d).toordinal()
         except ValueError:
             continue
-        off: int | None = None
-        if z:
-            if z[1]:
-                off = int(z[3] or 0) * 3600 + int(z[4] or 0) * 60
-                off = -off if z[2] == "-" else off
-            elif z[5]:
-                off = int(z[6]) * 3600 + int(z[7] or 0) * 60
-                off = off if z[5] == "+" else -off
-            else:
-                off = _named_offset(z[8], zone_of(zone_id), y, mo, d, h, mi)
-        if off is None:
-            zone = None if naive_utc else zone_of(zone_id)
-            off = 0 if zone is None else _wall_offset(zone, y, mo, d, h, mi)
-        out.append((((day - _EPOCH_DAY) * 86_400 + h * 3600 + mi * 60 + sec - off) * 1_000_000 + us, form, cost))
-    if len(out) == 2 and out[0][0] == out[1][0]:
-        del out[1]
-    return out
+        offsets: list[tuple[int, str, float]] = []  # offset, zone notation, cost
+        if z and (z[1] or z[5]):
+            hours, minutes, sign = (z[3], z[4], z[2]) if z[1] else (z[6], z[7], z[5])
+            off = int(hours or 0) * 3600 + int(minutes or 0) * 60
+            offsets.append((off if sign in ("+", None) else -off, "z", 0.0))
+        elif z:
+            offsets += [(off, "abbr", AGAINST * i) for i, off in enumerate(_named_offsets(z[8], zone, y, mo, d, h, mi))]
+        if not offsets:
+            wall = _wall_offsets(zone, y, mo, d, h, mi) if zone is not None else ()
+            offsets += [(off, "wall", AGAINST * (i + naive_utc)) for i, off in enumerate(wall)]
+            offsets.append((0, "utc", 0.0 if naive_utc or not wall else AGAINST))
+        for off, how, more in offsets:
+            t = ((day - _EPOCH_DAY) * 86_400 + h * 3600 + mi * 60 + sec - off) * 1_000_000 + us
+            if t not in out or cost + more < out[t][2]:
+                out[t] = (t, f"{form} {how}", cost + more)
+    return list(out.values())
 
 
 def viterbi(seq: list[list[tuple[int, str, float]]]) -> list[int | None]:
@@ -234,6 +247,24 @@ def _decode(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield flush()
 
 
+_SOURCE = ["rec_table", "rec_field", "src"]
+
+
+def pieces(placed: DataFrame, chunk: int, halo: int) -> DataFrame:
+    """``placed(*_SOURCE, granule)`` to ``*_SOURCE, granule, piece, warm``.
+
+    The records of each granule are counted and the counts summed up in order, at most
+    ``GRANULES`` numbers a source. ``warm`` marks the granules that hold the last ``halo``
+    records of a piece, which the next one sees too.
+    """
+    up = Window.partitionBy(*_SOURCE).orderBy("granule")
+    inside = Window.partitionBy(*_SOURCE, "piece").orderBy(F.desc("granule"))
+    counted = placed.filter("granule is not null").groupBy(*_SOURCE, "granule").agg(F.count(F.lit(1)).alias("n"))
+    cut = counted.withColumn("piece", F.floor((F.sum("n").over(up) - F.col("n")) / chunk)).withColumn("last", F.max("piece").over(Window.partitionBy(*_SOURCE)))
+    warm = (F.sum("n").over(inside) - F.col("n") < halo) & (F.col("piece") < F.col("last"))
+    return cut.select(*_SOURCE, "granule", "piece", warm.alias("warm"))
+
+
 def resolve(values: DataFrame, registry: DataFrame, chunk: int = CHUNK, halo: int = HALO) -> DataFrame:
     """``values(rec_table, rec_id, rec_field, src, val)`` to one row per non-NULL value.
 
@@ -242,14 +273,17 @@ def resolve(values: DataFrame, registry: DataFrame, chunk: int = CHUNK, halo: in
     as a dimension; Spark broadcasts it when its size allows.
     """
     reg = registry.select(F.col("domain").alias("reg_domain"), F.col("zone_id"), F.col("day_first")).dropDuplicates(["reg_domain"])
-    own = F.floor(F.coalesce(F.col("rec_id"), F.lit(0)) / chunk)
-    warm = F.pmod(F.coalesce(F.col("rec_id"), F.lit(0)), F.lit(chunk)) >= chunk - halo
+    known = values.select("rec_table", "rec_id", "rec_field", F.coalesce("src", F.lit("")).alias("src"), "val").filter(F.col("val").isNotNull())
+    span = known.groupBy(*_SOURCE).agg(F.min("rec_id").alias("lo"), F.max("rec_id").alias("hi"))
+    width = (F.col("hi").cast("double") - F.col("lo").cast("double") + 1) / GRANULES
+    placed = known.join(span, _SOURCE).withColumn("granule", F.floor((F.col("rec_id").cast("double") - F.col("lo").cast("double")) / width)).drop("lo", "hi")
+    alone = -1 - F.pmod(F.xxhash64("val"), F.lit(1 << 30))
+    # a piece and the next differ by one; pieces of the NULL ids are negative
     seq = (
-        values.select("rec_table", "rec_id", "rec_field", F.coalesce("src", F.lit("")).alias("src"), "val")
-        .filter(F.col("val").isNotNull())
-        .withColumn("at", F.explode(F.when(warm, F.array(own, own + 1)).otherwise(F.array(own))))
-        .withColumn("own", F.col("at") == own)
-        .withColumnRenamed("at", "chunk")
+        placed.join(pieces(placed, chunk, halo), [*_SOURCE, "granule"], "left")
+        .withColumn("mine", F.coalesce("piece", alone))
+        .withColumn("chunk", F.explode(F.when(F.col("warm"), F.array("mine", F.col("mine") + 1)).otherwise(F.array("mine"))))
+        .select("rec_table", "rec_id", "rec_field", "src", "val", "chunk", (F.col("chunk") == F.col("mine")).alias("own"))
         .join(reg, F.col("src") == F.col("reg_domain"), "left")
         .drop("reg_domain")
     )
@@ -281,3 +315,8 @@ def article_and_item_dates(articles: DataFrame, items: DataFrame) -> DataFrame:
 
 def p3_found(articles: DataFrame, items: DataFrame, registry: DataFrame) -> DataFrame:
     return resolve(article_and_item_dates(articles, items), registry).filter(F.col("utc_us").isNotNull())
+
+
+def p3_order(articles: DataFrame, items: DataFrame, registry: DataFrame) -> DataFrame:
+    """As ``p3_found`` with the registry's order of day and month withheld: the sequences decide."""
+    return p3_found(articles, items, registry.withColumn("day_first", F.lit(None).cast("boolean")))

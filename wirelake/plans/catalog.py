@@ -261,6 +261,12 @@ def p3_found(spark, d):
     return timestamps.p3_found(table(spark, d, "articles"), table(spark, d, "raw_items"), table(spark, d, "source_registry"))
 
 
+@query("p3_order")
+def p3_order(spark, d):
+    """Instants as the order of the records alone gives them, where the registry's order of day and month is withheld."""
+    return timestamps.p3_order(table(spark, d, "articles"), table(spark, d, "raw_items"), table(spark, d, "source_registry"))
+
+
 # --- text ---------------------------------------------------------------------
 @query("text_strip_tags", r"SELECT item_id, trim(regexp_replace(summary, '<[^>]+>', ' ', 'g')) AS plain FROM raw_items WHERE summary IS NOT NULL")
 def text_strip_tags(spark, d):
