@@ -77,9 +77,28 @@ def test_per_domain_shares(spark):
     assert {r["domain"]: r["count"] for r in got.collect()} == {"a": 16, "b": 9, "c": 5}
 
 
+def greedy(weights, most, keys):
+    out, chunk, room, n = [], 0, most, 0
+    for w in weights:
+        if n and (w > room or n >= keys):
+            chunk, room, n = chunk + 1, most, 0
+        out.append(chunk)
+        room, n = room - w, n + 1
+    return out
+
+
 def test_chunks(spark):
-    assert chunking.greedy_chunks([5, 5, 20, 1], 10, 100) == [0, 0, 1, 2]
-    assert chunking.greedy_chunks([1] * 5, 100, 2) == [0, 0, 1, 1, 2]
-    df = spark.createDataFrame([("https://a.example/" + "é" * n,) for n in (3, 400, 2, 3000)], "url string").coalesce(1)
-    got = chunking.chunk_urls(df, 3000, 100).orderBy("chunk", "url").collect()
+    assert greedy([5, 5, 20, 1], 10, 100) == [0, 0, 1, 2]
+    df = spark.createDataFrame([("https://a.example/" + "é" * n,) for n in (3, 400, 2, 3000)] + [(None,)], "url string").coalesce(1)
+    got = chunking.chunk_urls(df, 3000, 100, lanes=1).orderBy("chunk", "url").collect()
     assert len(got) == 4 and [r.chunk for r in got] == [0, 0, 0, 1]
+
+
+def test_chunks_do_not_depend_on_partitions(spark):
+    urls = [f"https://a.example/{'x' * (i % 37)}/{i}" for i in range(400)]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    one, many = ({tuple(r) for r in chunking.chunk_urls(df.repartition(n), 600, 9, lanes=5).collect()} for n in (1, 16))
+    assert one == many
+    for lane in range(5):
+        rows = sorted((u, c) for u, at, c in one if at == lane)
+        assert [c for _, c in rows] == greedy([len(u.replace(":", "%3A").replace("/", "%2F")) + 3 for u, _ in rows], 600, 9)

@@ -2,6 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from wirelake.operators import dedupe
 from wirelake.sources import feeds, search
 
 RSS = """<?xml version="1.0"?><rss xmlns:content="c"><channel><item><title>Título - Fonte</title><link>https://www.a.example/x/?utm_source=r</link><pubDate>Ter, 26 Mai 2026 09:50:56 -0300</pubDate>
@@ -43,7 +44,7 @@ def test_sitemaps(spark):
     pages = feeds.post_page(docs(spark, INDEX)).withColumn("page_url", F.lit("https://a.example/f"))
     assert feeds.stale_page_report(pages, e.filter("url like '%/curto'")).count() == 1
     assert feeds.stale_page_report(pages, e).count() == 0
-    assert [r[0] for r in spark.createDataFrame([("https://a/sitemap-news.xml",), ("https://a/feed",)], "u string").select(feeds.is_sitemap(F.col("u"))).collect()] == [True, False]
+    assert [r[0] for r in spark.createDataFrame([("https://a/sitemap-news.xml",), ("https://a/feed",), ("https://a/wp-sitemap.xml",), ("https://a/news.xml",)], "u string").select(feeds.is_sitemap(F.col("u"))).collect()] == [True, False, False, True]
 
 
 def test_listing(spark):
@@ -53,16 +54,16 @@ def test_listing(spark):
 
 def test_one_per_url(spark):
     df = spark.createDataFrame([("u", None, 1), ("u", datetime(2026, 1, 1), 2), ("u", datetime(2026, 1, 2), 3), ("v", None, 4)], "url string, published_at timestamp, seq long")
-    assert {r.seq for r in feeds.one_per_url(df).collect()} == {2, 4}
+    assert {r.seq for r in dedupe.prefer_dated(df).collect()} == {2, 4}
 
 
 def test_queries(spark):
     kw = spark.createDataFrame([("gás natural",), ("OIL",), ("pipeline",)], "keyword string")
-    assert search.keyword_queries(kw, 24).orderBy("keyword").collect()[1].query_url == "https://news.google.com/rss/search?q=when%3A24h+%22g%C3%A1s+natural%22&hl=pt-BR&gl=BR&ceid=BR%3Apt-419"
+    assert search.keyword_queries(kw, 24).orderBy("keyword").collect()[1].query_url == "https://news.google.com/rss/search?q=when%3A24h+%22g%C3%A1s+natural%22&hl=pt-BR&gl=BR&ceid=BR:pt"
     pr = spark.createDataFrame([("en", "pipeline", 1), ("en", "oil", 2), ("ru", "нефт", 1)], "lang string, term string, priority int")
     got = {r.lang: r.terms for r in search.terms_by_language(kw, pr).collect()}
     assert got == {"en": ["pipeline", "OIL"], "ru": ["OIL", "gás natural", "pipeline"]}
     sites = spark.createDataFrame([("b.example/news", ["a", "b c"], "en", "US", "US:en")], "domain string, terms array<string>, hl string, gl string, ceid string")
     u = search.site_queries(sites, 72).collect()[0].query_url
-    assert u == "https://news.google.com/rss/search?q=site%3Ab.example%2Fnews+when%3A3d+%28%22a%22+OR+%22b+c%22%29&hl=en&gl=US&ceid=US%3Aen"
+    assert u == "https://news.google.com/rss/search?q=site%3Ab.example%2Fnews+when%3A3d+%28%22a%22+OR+%22b+c%22%29&hl=en&gl=US&ceid=US:en"
     assert spark.createDataFrame([(u,)], "u string").select(search.query_language(F.col("u"), {"en": "en"})).collect()[0][0] == "en"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from wirelake import vocabulary
+
 
 @dataclass(frozen=True)
 class Caps:
@@ -57,14 +59,14 @@ class RunConfig:
 
 
 #: keywords used where neither the defaults nor a user names any
-FALLBACK_KEYWORDS = ("petróleo", "gás natural", "diesel", "gasolina", "etanol", "biodiesel", "refinaria", "gasoduto", "oil", "natural gas")
+FALLBACK_KEYWORDS = vocabulary.DEFAULT_KEYWORDS
 
-#: a small vocabulary for the search languages, native term to English concept
+#: the search languages: locale of the query, native terms by priority (English takes the live keywords among its own)
 LANGUAGES = (
-    LangConfig("en", "en", "US", "US:en", (("oil", "oil"), ("natural gas", "gas"), ("refinery", "refinery"), ("pipeline", "pipeline"), ("crude", "oil"), ("ethanol", "ethanol"))),
-    LangConfig("es", "es-419", "MX", "MX:es-419", (("petróleo", "oil"), ("crudo", "oil"), ("gas natural", "gas"), ("refinería", "refinery"), ("gasoducto", "pipeline"))),
-    LangConfig("ru", "ru", "RU", "RU:ru", (("нефт", "oil"), ("газопровод", "pipeline"), ("газ", "gas"), ("нефтеперерабатывающий", "refinery"))),
-    LangConfig("ar", "ar", "AE", "AE:ar", (("النفط الخام", "oil"), ("النفط", "oil"), ("الغاز", "gas"), ("مصفاة", "refinery"))),
-    LangConfig("zh", "zh-CN", "CN", "CN:zh-Hans", (("原油", "oil"), ("石油", "oil"), ("天然气", "gas"), ("炼油厂", "refinery"))),
-    LangConfig("iw", "iw", "IL", "IL:iw", (("נפט", "oil"), ("הגז", "gas"), ("בית זיקוק", "refinery"))),
+    LangConfig("en", "en-US", "US", "US:en", tuple((t, t) for t in vocabulary.ENGLISH)),
+    LangConfig("ar", "ar", "EG", "EG:ar", vocabulary.ARABIC),
+    LangConfig("ru", "ru", "RU", "RU:ru", vocabulary.RUSSIAN),
+    LangConfig("zh", "zh-CN", "CN", "CN:zh-Hans", vocabulary.CHINESE),
+    LangConfig("iw", "iw", "IL", "IL:iw", vocabulary.HEBREW),
+    LangConfig("es", "es-419", "US", "US:es-419", vocabulary.SPANISH),
 )

@@ -26,7 +26,13 @@ NOISE_PARTS = (
 CTA = frozenset(("ler noticia", "ler notícia", "leia mais", "leia", "saiba mais", "veja mais", "continue lendo", "confira", "acesse"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": frozenset("p address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul".split()), "li": frozenset(("li",)), "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "tr": frozenset(("tr",)), "option": frozenset(("option",))}
-DEFAULT_SELECTORS = ("article [itemprop=articleBody]", "div.entry-content", "div[class*=article-body]", "div[class*=post-content]", "div[class*=content-text]", "main article")
+# Body selectors for sites without rows of their own, in order of trial.
+DEFAULT_SELECTORS = (
+    'div[itemprop="articleBody"]', "div.article-content", "div.article-body", "div.article__content", "div.article__body", "div.post-content", "div.post__content",
+    "div.post-body", "div.entry-content", "div.entry__content", "div.single-content", "div.single__content", "div.content-text", "div.news-text", "div.news-content",
+    "div.news__body", "div.materia-conteudo", "div.conteudo-materia", "div.texto-materia", "div.texto", "div.content", "div.body", "div.main-content",
+    "section.article-body", "section.content", "main article", "article .content", "article",
+)
 _DATE = re.compile(r"\b(\d{2})/(\d{2})/(\d{4})\b")
 
 

@@ -11,29 +11,25 @@ from pyspark.sql import functions as F
 from wirelake.functions import urls
 
 
-def greedy_chunks(weights: list[int], most: int, keys: int) -> list[int]:
-    """The chunk of each key when chunks are filled one after another."""
-    out, chunk, room, n = [], 0, most, 0
-    for w in weights:
-        if n and (w > room or n >= keys):
-            chunk, room, n = chunk + 1, most, 0
-        out.append(chunk)
-        room, n = room - w, n + 1
-    return out
+def chunk_urls(df: DataFrame, most: int = 12_000, keys: int = 100, lanes: int = 64) -> DataFrame:
+    """``url, lane, chunk``: chunks of a lane are filled one after another, in order of the URLs.
 
-
-def chunk_urls(df: DataFrame, most: int = 12_000, keys: int = 100) -> DataFrame:
-    """``url, part, chunk``: every partition of the input fills its own chunks in its order."""
+    A lane is chosen by the URL's hash, so the result doesn't depend on how the input
+    is divided; ``lanes`` is the parallelism of the requests. NULL URLs are left out.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, room, n = 0, most, 0
+        lane, at, room, n = None, 0, most, 0
         for b in batches:
             out = []
-            for w in b["w"]:
-                if n and (w > room or n >= keys):
+            for now, w in zip(b["lane"], b["w"]):
+                if now != lane:
+                    lane, at, room, n = now, 0, most, 0
+                elif n and (w > room or n >= keys):
                     at, room, n = at + 1, most, 0
                 out.append(at)
                 room, n = room - w, n + 1
-            yield pd.DataFrame({"url": b["url"], "part": b["part"], "chunk": out})
+            yield pd.DataFrame({"url": b["url"], "lane": b["lane"], "chunk": out})
 
-    return df.select("url", F.spark_partition_id().alias("part"), urls.encoded_weight(F.col("url")).alias("w")).mapInPandas(run, "url string, part int, chunk int")
+    rows = df.filter("url is not null").select("url", F.pmod(F.xxhash64("url"), F.lit(lanes)).cast("int").alias("lane"), urls.encoded_weight(F.col("url")).alias("w"))
+    return rows.repartition(lanes, "lane").sortWithinPartitions("lane", "url").mapInPandas(run, "url string, lane int, chunk int")

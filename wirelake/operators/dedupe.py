@@ -1,4 +1,7 @@
-"""One row per key: first, first dated, or last."""
+"""One row per key: first, first dated, or last.
+
+Rows without a key are no copies of each other: all are kept, and not brought together.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +11,16 @@ from pyspark.sql import functions as F
 from wirelake.functions import urls
 
 
-def _one(df: DataFrame, key: Column, *order: Column) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_n = 1").drop("_n")
+def _one(df: DataFrame, key: Column, *order: Column, stored: Column | None = None) -> DataFrame:
+    """``stored`` is the column that ``key`` is made of: a scan can skip its non-NULL rows."""
+    none = (key if stored is None else stored).isNull()
+    keyed = df.filter(~none).withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_n = 1").drop("_n")
+    return keyed.unionByName(df.filter(none))
 
 
 def first_by_url(items: DataFrame, seq: str = "seq") -> DataFrame:
     """The first row of each normalised URL."""
-    return _one(items.withColumn("url_key", urls.normalize(F.col("url"))), F.col("url_key"), F.col(seq))
+    return _one(items.withColumn("url_key", urls.normalize(F.col("url"))), F.col("url_key"), F.col(seq), stored=F.col("url"))
 
 
 def prefer_dated(items: DataFrame, seq: str = "seq", date: str = "published_at", url: str = "url") -> DataFrame:

@@ -24,28 +24,38 @@ def per_key_cap(df: DataFrame, n: int, key: str = "domain", seq: str = "seq") ->
 
 
 def mixed_cap(df: DataFrame, dated: int, undated: int, key: str = "domain", seq: str = "seq", date: str = "published_at") -> DataFrame:
-    """A shared counter per key: dated rows enter below ``dated``, undated ones below ``undated``."""
-    d = _rank(df, key, F.col(seq))
-    late = F.col(date).isNull() & (F.col("_rn") > dated)
-    w = Window.partitionBy(key, late).orderBy(seq)
-    d = d.withColumn("_late", late).withColumn("_ln", F.row_number().over(w))
-    return d.filter((F.col("_rn") <= dated) | F.col("_late") & (F.col("_ln") <= undated - dated)).drop("_rn", "_late", "_ln")
+    """A shared counter per key: dated rows enter below ``dated``, undated ones below ``undated``.
+
+    What enters is among a key's first ``dated`` rows or its first ``undated`` undated
+    ones, so both ranks stop early and no key is ranked as a whole.
+    """
+    first = _rank(df, key, F.col(seq)).filter(F.col("_rn") <= dated)
+    # an undated row of rank r among the undated is at place r or later: the later places are
+    # those behind the key's first rows, of which it needs the number of undated ones
+    inside = first.filter(F.col(date).isNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_in"))
+    none = _rank(df.filter(F.col(date).isNull()), key, F.col(seq)).filter(F.col("_rn") <= undated)
+    late = none.join(inside, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_ln", F.col("_rn") - F.coalesce("_in", F.lit(0))).filter((F.col("_ln") > 0) & (F.col("_ln") <= undated - dated))
+    return first.drop("_rn").unionByName(late.drop("_rn", "_in", "_ln", "_key"))
+
+
+def _day(date: str, oldest_first: bool) -> Column:
+    day = F.coalesce(F.unix_micros(date), F.lit(-(2**62)))
+    return day if oldest_first else -day
 
 
 def round_robin(df: DataFrame, key: str = "domain", date: str = "published_at", seq: str = "seq", oldest_first: bool = False, most_per_key: int | None = None) -> DataFrame:
     """With ``rr_round``, ``rr_head``, ``rr_first``: order by them for one row of each key in turn.
 
     Inside a key by date (none is oldest); the key with the newest (or oldest)
-    head opens each round; ties in input order.
+    head opens each round; ties in input order. Heads come from an aggregation over all
+    rows, and only the first ``most_per_key`` rows of a key are ranked.
     """
-    day = F.coalesce(F.unix_micros(date), F.lit(-(2**62)))
-    day = day if oldest_first else -day
-    d = df.withColumn("_day", day)
-    w = Window.partitionBy(key)
-    d = d.withColumn("rr_round", F.row_number().over(w.orderBy("_day", seq))).withColumn("rr_head", F.min("_day").over(w)).withColumn("rr_first", F.min(seq).over(w))
+    d = df.withColumn("_day", _day(date, oldest_first))
+    heads = d.groupBy(F.col(key).alias("_key")).agg(F.min("_day").alias("rr_head"), F.min(seq).alias("rr_first"))
+    ranked = d.withColumn("rr_round", F.row_number().over(Window.partitionBy(key).orderBy("_day", seq)))
     if most_per_key:
-        d = d.filter(F.col("rr_round") <= most_per_key)
-    return d.drop("_day")
+        ranked = ranked.filter(F.col("rr_round") <= most_per_key)
+    return ranked.join(heads, F.col(key).eqNullSafe(F.col("_key"))).drop("_day", "_key")
 
 
 RR_ORDER = ("rr_round", "rr_head", "rr_first")

@@ -37,7 +37,7 @@ def deferred(new: DataFrame, dates_ok: bool = True, overlays_ok: bool = True) ->
 
 def merge(new: DataFrame, stored: DataFrame, dates_ok: bool = True, overlays_ok: bool = True, seq: str = "seq") -> DataFrame:
     """The table after the merge; ``stored`` has the persisted columns it has (missing ones are NULL)."""
-    one = last_by_key(new, "url", "found_at", seq)
+    one = last_by_key(new.filter("url is not null"), "url", "found_at", seq)  # a keyed table has no rows without key
     if not (dates_ok and overlays_ok):
         one = one.join(deferred(one, dates_ok, overlays_ok).select("url"), "url", "left_anti")
     have = [c for c in PERSISTED if c in stored.columns]
@@ -88,3 +88,56 @@ def newest_version(spark: SparkSession, folder: str) -> tuple[int, str] | None:
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             found.append(int(name[2:]))
     return (max(found), f"{folder}/v={max(found):08d}") if found else None
+
+
+def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(base)]
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
+
+
+def bucket_versions(spark: SparkSession, folder: str, before: int | None = None) -> dict[int, list[int]]:
+    """The versions of each bucket of a table; complete ones only, with ``before`` those of earlier batches.
+
+    A batch is complete once its mark stands beside the buckets.
+    """
+    done = {n for n in _numbers(spark, f"{folder}/_done", "n=") if before is None or n < before}
+    out = {b: [v for v in _numbers(spark, f"{folder}/b={b}", "v=") if v in done] for b in _numbers(spark, folder, "b=")}
+    return {b: v for b, v in out.items() if v}
+
+
+def write_buckets(spark: SparkSession, rows: DataFrame, folder: str, number: int) -> None:
+    """``rows`` with bucket ``b`` as version ``number`` of their buckets."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path = jvm.org.apache.hadoop.fs.Path
+    stage = path(f"{folder}/_stage")
+    rows.repartition("b").write.mode("overwrite").partitionBy("b").parquet(stage.toString())
+    for st in fs.listStatus(stage):
+        name = st.getPath().getName()
+        if name.startswith("b="):
+            target = path(f"{folder}/{name}/v={number:08d}")
+            fs.mkdirs(target.getParent())
+            fs.delete(target, True)  # of a lost run of the same batch
+            fs.rename(st.getPath(), target)
+    fs.delete(stage, True)
+    fs.mkdirs(path(f"{folder}/_done/n={number:08d}"))
+
+
+def expire(spark: SparkSession, folder: str, versions: dict[int, list[int]]) -> None:
+    """Removes all but the last of the given versions of each bucket."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for b, found in versions.items():
+        for v in found[:-1]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{folder}/b={b}/v={v:08d}"), True)
+
+
+def read_buckets(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The newest version of all buckets as one table."""
+    found = bucket_versions(spark, folder)
+    return spark.read.parquet(*[f"{folder}/b={b}/v={v[-1]:08d}" for b, v in sorted(found.items())]) if found else None

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from wirelake.functions.text import is_blank
 
 MAX_CHARS = 4500
-#: notation of the labels that translators know under another code
-CODES = {"zh": "zh-CN", "iw": "iw", "ar": "ar", "ru": "ru", "es": "es"}
+# Labels as translators know them; other labels are left to the translator's own guess.
+CODES = {"ar": "ar", "fa": "fa", "iw": "iw", "ru": "ru", "zh": "zh-CN", "es": "es"}
 
 
 def is_foreign(lang: Column) -> Column:
@@ -41,13 +41,13 @@ def translate(articles: DataFrame, translator: Callable[[str, str], str | None],
         def one(text: str | None, lang: str) -> str | None:
             if not text or not text.strip():
                 return None
-            for code in (CODES.get(lang, lang), "auto"):
+            for code in dict.fromkeys((CODES.get((lang or "").strip().lower(), "auto"), "auto")):
                 try:
                     out = translator(text[:MAX_CHARS], code)
                 except Exception:  # noqa: BLE001 - any translator's failure leaves the field empty
                     out = None
                 if out and out.strip():
-                    return out
+                    return out.strip()
             return None
 
         for b in batches:

@@ -42,10 +42,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def hint_day(written):
+    """The day of a listing's hint as the scan reads it: an ISO date at its start, else its only dd/mm/yyyy."""
+    iso = F.try_to_timestamp(F.regexp_extract(F.coalesce(written, F.lit("")), r"^\s*(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd"))
+    return F.coalesce(F.to_timestamp(iso), dates.parse_listing(written))
+
+
 def items(spark: SparkSession, d: str) -> DataFrame:
-    """Raw items with ``seq``; the written hint as instant where it is ISO."""
+    """Raw items with ``seq``; the day of the written hint as instant, the text as ``hint_text``."""
     t = table(spark, d, "raw_items").withColumn("seq", F.col("item_id"))
-    return t.withColumn("hint_text", F.col("published_hint")).withColumn("published_hint", F.to_timestamp(F.try_to_timestamp(F.regexp_extract(F.coalesce("published_hint", F.lit("")), r"^\s*(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd"))))
+    return t.withColumn("hint_text", F.col("published_hint")).withColumn("published_hint", hint_day(F.col("published_hint")))
 
 
 def dated_items(spark: SparkSession, d: str) -> DataFrame:
@@ -67,7 +73,7 @@ def dated_items(spark: SparkSession, d: str) -> DataFrame:
 HOST = r"regexp_replace(lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\.', '')"
 PATH = r"regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 QUERYPART = r"regexp_extract({u}, '^[^?#]*\?([^#]*)', 1)"
-TRACK = "'" + "','".join(urls.TRACKING) + "'"
+TRACK = "'utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'fbclid', 'gclid', 'mc_cid', 'mc_eid', 'ref', 'ref_src', '__twitter_impression'"
 
 
 def norm_sql(u: str) -> str:
@@ -80,30 +86,20 @@ def norm_sql(u: str) -> str:
 
 
 IN_WINDOW = f"epoch_us(published_at) >= {AS_OF_US - HOURS * 3_600_000_000}"
-#: the vocabulary that the SQL states; queries without SQL take the keyword table's
-KEYWORDS = ("Petróleo", "óleo cru", "gás natural", "gasoduto", "refinaria", "etanol", "biodiesel", "diesel", "leilão", "crude", "natural gas", "pipeline", "refinery", "petróleo crudo", "gasóleo", "нефт", "газопровод", "النفط", "الغاز", "原油", "天然气", "נפט", "הגז", "Petroleum", "posto", "poços", "pozos", "gas", "tanker", "LNG", "разведочных")
-EXACT = frozenset(("Petroleum", "diesel", "posto", "poços", "pozos", "gas", "tanker", "LNG", "разведочных"))
-CONFIG = MatchConfig(KEYWORDS, EXACT, HOURS)
-_SPELL = {}
-for _k in KEYWORDS:
-    _SPELL.setdefault(_k.lower(), _k)
-for _k in EXACT:
-    _SPELL.setdefault(_k.lower(), _k.lower())
-_ANYWHERE = sorted((k for k in _SPELL if k not in {e.lower() for e in EXACT}), key=lambda k: (-len(k), k))
-_PAT = "(?i)(?:" + "|".join(_ANYWHERE) + ")"
-_NAMES = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in _SPELL.items()) + "}"
+# the keyword table: spelling by lower case, pattern of the substring terms (longest first), patterns of the exact ones
+KW = r"""k AS (SELECT lower(keyword) AS lk, min(keyword) AS sp, bool_or(match_type = 'exact') AS ex FROM keywords WHERE trim(keyword) <> '' GROUP BY 1),
+p AS (SELECT '(?i)(?:' || string_agg(regexp_escape(lk), '|' ORDER BY length(lk) DESC, lk) || ')' AS pat FROM k WHERE NOT ex),
+e AS (SELECT lk, sp, '(?i)(?:^|[^\p{L}\p{N}\p{M}_])' || regexp_escape(lk) || '(?:$|[^\p{L}\p{N}\p{M}_])' AS epat FROM k WHERE ex)"""
 
 
 def hits_sql(src: str, key: str, txt: str) -> str:
-    """Rows (key, keyword) of all hits in ``txt`` of ``src``."""
-    word = r"[^\p{L}\p{N}\p{M}_]"
-    whole = " ".join(f"UNION SELECT {key}, '{_SPELL[e.lower()]}' FROM {src} WHERE regexp_matches({txt}, '(?i)(?:^|{word}){e}(?:$|{word})')" for e in sorted(EXACT))
-    return f"SELECT DISTINCT {key}, {_NAMES}[lower(h)] AS keyword FROM (SELECT {key}, unnest(regexp_extract_all({txt}, '{_PAT}')) AS h FROM {src}) x {whole}"
+    """Rows (key, keyword) of all hits of the keyword table in ``txt`` of ``src``; needs ``KW``."""
+    return f"""SELECT DISTINCT {key}, sp AS keyword FROM (SELECT {key}, unnest(regexp_extract_all({txt}, pat)) AS h FROM {src}, p) x JOIN k ON lower(h) = lk
+    UNION SELECT {key}, sp AS keyword FROM {src} JOIN e ON regexp_matches({txt}, epat)"""
 
 
-def sql_matcher() -> match.Matcher:
-    """The matcher of the queries with SQL."""
-    return match.compile_matcher(CONFIG)
+def table_matcher(spark: SparkSession, d: str) -> match.Matcher:
+    return match.compile_matcher(table_config(spark, d))
 
 
 def table_config(spark: SparkSession, d: str) -> MatchConfig:
@@ -120,30 +116,31 @@ def kw_config_union(spark, d):
     return match.keyword_union(table(spark, d, "keywords"))
 
 
-@query("kw_match_title", f"{hits_sql('raw_items', 'item_id', 'title')}")
+@query("kw_match_title", f"WITH {KW} {hits_sql('raw_items', 'item_id', 'title')}")
 def kw_match_title(spark, d):
-    return items(spark, d).select("item_id", F.explode(sql_matcher().hits(F.col("title"))).alias("keyword"))
+    return items(spark, d).select("item_id", F.explode(table_matcher(spark, d).hits(F.col("title"))).alias("keyword"))
 
 
-@query("kw_match_documents", f"{hits_sql('documents', 'doc_id', 'text')}")
+@query("kw_match_documents", f"WITH {KW} {hits_sql('documents', 'doc_id', 'text')}")
 def kw_match_documents(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.explode(sql_matcher().hits(F.col("text"))).alias("keyword"))
+    return table(spark, d, "documents").select("doc_id", F.explode(table_matcher(spark, d).hits(F.col("text"))).alias("keyword"))
 
 
 @query(
     "kw_match_order",
-    f"""WITH h AS (SELECT article_id, list_transform(regexp_extract_all(title, '{_PAT}'), lambda x: lower(x)) AS l FROM articles)
-    SELECT article_id, array_to_string(list_transform(list_filter(l, lambda x, i: list_position(l, x) = i), lambda x: {_NAMES}[x]), '|') AS hits FROM h""",
+    f"""WITH {KW}, h AS (SELECT article_id, list_transform(regexp_extract_all(title, pat), lambda x: lower(x)) AS l FROM articles, p),
+    m AS (SELECT map_from_entries(list((lk, sp))) AS names FROM k)
+    SELECT article_id, array_to_string(list_transform(list_filter(l, lambda x, i: list_position(l, x) = i), lambda x: names[x]), '|') AS hits FROM h, m""",
 )
 def kw_match_order(spark, d):
-    m = sql_matcher()
+    m = table_matcher(spark, d)
     return table(spark, d, "articles").select("article_id", F.array_join(match.Matcher(m.substring, None, m.spelling).hits(F.col("title")), "|").alias("hits"))
 
 
-@query("kw_match_table")
+@query("kw_match_table", f"WITH {KW}, t AS (SELECT item_id, concat_ws(chr(32) || chr(10) || chr(32), title, summary) AS x FROM raw_items) {hits_sql('t', 'item_id', 'x')}")
 def kw_match_table(spark, d):
     """All hits of the keyword table's terms in titles and summaries."""
-    m = match.compile_matcher(table_config(spark, d))
+    m = table_matcher(spark, d)
     return items(spark, d).select("item_id", F.explode(m.hits(F.concat_ws(" \n ", "title", "summary"))).alias("keyword"))
 
 
@@ -163,10 +160,10 @@ def kw_canonical(spark, d):
 
 @query(
     "kw_by_source",
-    f"WITH h AS ({hits_sql('raw_items', 'item_id', 'title')}) SELECT source_domain, keyword, count(*) AS n FROM h JOIN raw_items USING (item_id) GROUP BY 1, 2",
+    f"WITH {KW}, h AS ({hits_sql('raw_items', 'item_id', 'title')}) SELECT source_domain, keyword, count(*) AS n FROM h JOIN raw_items USING (item_id) GROUP BY 1, 2",
 )
 def kw_by_source(spark, d):
-    hit = items(spark, d).select("source_domain", F.explode(sql_matcher().hits(F.col("title"))).alias("keyword"))
+    hit = items(spark, d).select("source_domain", F.explode(table_matcher(spark, d).hits(F.col("title"))).alias("keyword"))
     return hit.groupBy("source_domain", "keyword").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -211,7 +208,7 @@ def window_filter(spark, d):
     return items(spark, d).filter(dates.within_window(F.col("published_at"), as_of(), HOURS)).select("item_id")
 
 
-HINT = r"try_strptime(regexp_extract(published_hint, '^\s*(\d{4}-\d{2}-\d{2})', 1), '%Y-%m-%d')"
+HINT = r"coalesce(try_strptime(regexp_extract(published_hint, '^\s*(\d{4}-\d{2}-\d{2})', 1), '%Y-%m-%d'), CASE WHEN len(regexp_extract_all(published_hint, '\b\d{2}/\d{2}/\d{4}\b')) = 1 THEN try_strptime(regexp_extract(published_hint, '\b\d{2}/\d{2}/\d{4}\b'), '%d/%m/%Y') END)"
 
 
 @query("hint_window", f"SELECT item_id, epoch_us({HINT}) AS hint_us FROM raw_items WHERE published_at IS NULL AND epoch_us({HINT}) >= {AS_OF_US - (HOURS + 24) * 3_600_000_000}")
@@ -292,11 +289,21 @@ def text_title_base(spark, d):
     SELECT article_id, CASE WHEN x = '' THEN t ELSE x END AS title FROM (SELECT article_id, t, trim(regexp_replace(t, pat, '')) AS x FROM (SELECT article_id, trim(regexp_replace(title, '[\s\p{Z}]+', ' ', 'g')) AS t FROM articles WHERE title IS NOT NULL), n)""",
 )
 def text_clean_title(spark, d):
-    names = [r[0] for r in table(spark, d, "source_registry").select("source_name").distinct().collect()]
+    names = text.site_names(table(spark, d, "source_registry"))
     return table(spark, d, "articles").filter("title is not null").select("article_id", text.clean_title(F.col("title"), names).alias("title"))
 
 
-_noise = "(?i)" + "|".join(f"(?:{n})" for n in text.NOISE)
+# what is no text of an article, as the SQL states it
+_noise = r"""(?i)^\s*leia\s+(tamb[eé]m|mais|tudo\s+sobre)\b|^\s*leia\s+a\s+(reportagem|mat[eé]ria)\s+completa\b|^\s*continua\s+(ap[oó]s|depois)\s+(a|da)\s+publicidade
+|^\s*assine\b|^\s*assinar\b|^\s*publicidade\s*$|^\s*propaganda\s*$|^\s*anuncio\s*$|^\s*newsletter\b|^\s*siga\s+o\s+|^\s*siga\s+a\s+|^\s*assista\b
+|^\s*foto:\s|^\s*imagem:\s|^\s*cr[eé]dito:\s|^\s*compartilhe\b|^\s*veja\s+(tamb[eé]m|mais)\b|^\s*saiba\s+mais\b
+|^\s*por\s+[A-ZÁÉÍÓÚÂÊÔÃÕÇ][0-9A-Z_a-zÀ-ÿ.\-]+(\s+[A-ZÁÉÍÓÚÂÊÔÃÕÇ][0-9A-Z_a-zÀ-ÿ.\-]+){0,3}\s*$
+|j[aá]\s+[eé]\s+assinante\b|fa[cç]a\s+seu\s+login\b|continue\s+lendo\b|nosso\s+conte[uú]do\s+[eé]\s+exclusivo|conte[uú]do\s+exclusivo\s+para\s+assinantes
+|voc[eê]\s+atingiu\s+o\s+limite|tr[eê]s\s+mat[eé]rias\s+por\s+m[eê]s|apoie\s+o\s+jornalismo|acesse\s+sem\s+limites
+|acompanhe\s+os\s+mercados\s+com\s+nossas\s+ferramentas|tenha\s+acesso\s+a\s+informa[cç][aã]o\s+relevante|voc[eê]\s+pode\s+ler\s+nosso\s+conte[uú]do\s+exclusivo
+|cadastro\s+gratuito|assine\s+as?\s+newsletters?\b|receba\s+as?\s+not[ií]cias\s+do\s+dia|em\s+primeira\s+m[aã]o\s+no\s+e-?mail
+|^\s*[⟶→➔➜►▸‣»]\s*|^\s*[©®]?\s*\d{4}\s+bloomberg\b|^\s*todos\s+os\s+direitos\s+reservados
+|^\s*[\p{L}\p{N}\p{M}_][\p{L}\p{N}\p{M}_\s&''-]{1,40}\s*\|\s*[\p{L}\p{N}\p{M}_][\p{L}\p{N}\p{M}_\s&''-]{1,40}\s*$""".replace("\n", "")
 
 
 @query(
@@ -310,7 +317,11 @@ def text_clean_paragraphs(spark, d):
 
 
 _STRIP = r"'^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'"
-_FOOT = (text.FOOTER_HTML.replace("(?iu)", "(?i)"), text.FOOTER_PLAIN.replace("(?ius)", "(?is)"), text.RELATED.replace("(?iu)", "(?i)"))
+_FOOT = (
+    r"(?i)O\s+post\s+[\s\S]+?apareceu\s+primeiro\s+em\s+[\s\S]+?</a>\s*\.",
+    r"(?is)O\s+post\s+.+?\s+apareceu\s+primeiro\s+em\s+[^.<]+\.",
+    r"(?i)\b(?:leia\s+tamb[eé]m|veja\s+tamb[eé]m|saiba\s+mais|leia\s+mais|veja\s+mais|confira\s+tamb[eé]m|mais\s+not[ií]cias|not[ií]cias\s+relacionadas|mat[eé]rias\s+relacionadas)\b",
+)
 
 
 @query(
@@ -329,7 +340,8 @@ def text_blank(spark, d):
 
 
 # --- routing ------------------------------------------------------------------
-ROUTE = f"""i AS (SELECT *, {HINT} AS hint, coalesce(title, '') AS ti, coalesce(summary, '') AS su FROM raw_items
+ROUTE = f"""{KW},
+i AS (SELECT *, {HINT} AS hint, coalesce(title, '') AS ti, coalesce(summary, '') AS su FROM raw_items
   WHERE (published_at IS NULL OR {IN_WINDOW}) AND (published_at IS NOT NULL OR {HINT} IS NULL OR epoch_us({HINT}) >= {AS_OF_US - (HOURS + 24) * 3_600_000_000})),
 s AS (SELECT *, CASE WHEN strpos(lower(su), 'leia') + strpos(lower(su), 'mais') > 0 AND regexp_matches(x, mk) THEN x[:strpos(x, regexp_extract(x, mk)) - 1] ELSE x END AS sx FROM
   (SELECT *, regexp_replace(su, '<[^>]+>', ' ', 'g') AS x, '(?i)\\b(?:leia\\s+tamb[eé]m|veja\\s+tamb[eé]m|saiba\\s+mais|leia\\s+mais|veja\\s+mais|confira\\s+tamb[eé]m|mais\\s+not[ií]cias)\\b' AS mk,
@@ -342,8 +354,9 @@ r AS (SELECT s.*, CASE WHEN ti = '' AND su = '' THEN CASE WHEN item_id IN (FROM
 
 
 def routed(spark, d):
-    """Routed as the SQL states: its vocabulary and its hints."""
-    return route.route(items(spark, d), sql_matcher(), RunConfig(match=CONFIG, languages=LANGUAGES), as_of())
+    """Routed by the terms of the keyword table, with hints as the scan reads them."""
+    cfg = run_config(spark, d)
+    return route.route(items(spark, d), match.compile_matcher(cfg.match), cfg, as_of())
 
 
 def routed_by_table(spark, d, cfg: RunConfig):
@@ -439,7 +452,7 @@ def repair_pick(spark, d):
 
 @query("top_recent", "SELECT item_id, epoch_us(published_at) AS at_us FROM raw_items WHERE source_domain = 'correio-do-barril.example' ORDER BY published_at DESC NULLS LAST, item_id LIMIT 15")
 def top_recent(spark, d):
-    t = items(spark, d).filter("source_domain = 'correio-do-barril.example'").orderBy(F.desc_nulls_last("published_at"), "item_id").limit(15)
+    t = tables.top_recent(items(spark, d), "correio-do-barril.example", 15, key="source_domain", tie="item_id")
     return t.select("item_id", F.unix_micros("published_at").alias("at_us"))
 
 
@@ -484,12 +497,11 @@ def self_anti_dup_slug(spark, d):
 
 
 def _new_rows(spark, d):
-    """Articles as a batch of pushed rows: dates as ISO where they are, ``article_id`` as order."""
-    a = table(spark, d, "articles")
-    return a.withColumn("published_at", F.when(F.col("published_at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\z"), F.col("published_at"))).withColumn("found_at", F.lit(0)).withColumn("seq", F.col("article_id"))
+    """Articles as a batch of pushed rows, dates as written; ``article_id`` is their order."""
+    return table(spark, d, "articles").withColumn("found_at", F.lit(0)).withColumn("seq", F.col("article_id"))
 
 
-NEW = r"new AS (SELECT * REPLACE (CASE WHEN regexp_matches(published_at, '^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ$') THEN published_at END AS published_at) FROM articles QUALIFY row_number() OVER (PARTITION BY url ORDER BY article_id DESC) = 1)"
+NEW = "new AS (SELECT * FROM articles QUALIFY row_number() OVER (PARTITION BY url ORDER BY article_id DESC) = 1)"
 BLANK = r"regexp_replace(coalesce({c}, ''), '[\s\p{{Z}}]+', '', 'g') = ''"
 
 
@@ -527,20 +539,37 @@ def merge_snippet_only(spark, d):
     "search_site_queries",
     """WITH t AS (SELECT list(keyword ORDER BY keyword)[:12] AS l FROM (SELECT DISTINCT keyword FROM keywords))
     SELECT domain, 'https://news.google.com/rss/search?q=' || replace(url_encode('site:' || domain || ' when:' || CASE WHEN stale_hours <= 48 THEN stale_hours::VARCHAR || 'h' ELSE greatest(1, stale_hours // 24)::INT::VARCHAR || 'd' END || ' ("' || array_to_string(l, '" OR "') || '")'), '%20', '+')
-      || '&hl=pt-BR&gl=BR&ceid=BR%3Apt-419' AS query_url FROM source_registry, t""",
+      || '&hl=pt-BR&gl=BR&ceid=BR:pt' AS query_url FROM source_registry, t""",
 )
 def search_site_queries(spark, d):
     kw = match.keyword_union(table(spark, d, "keywords")).agg(F.slice(F.sort_array(F.collect_set("keyword")), 1, 12).alias("terms"))
-    reg = table(spark, d, "source_registry").select("domain", "stale_hours").join(F.broadcast(kw))
-    q = F.concat(F.lit("site:"), "domain", F.lit(" "), dates.when_clause(F.col("stale_hours")), F.lit(" "), search.or_block(F.col("terms")))
-    return reg.select("domain", search.address(q, F.lit("pt-BR"), F.lit("BR"), F.lit("BR:pt-419")).alias("query_url"))
+    sites = table(spark, d, "source_registry").select("domain", "stale_hours").join(F.broadcast(kw))
+    return search.site_queries(sites.withColumns({"hl": F.lit("pt-BR"), "gl": F.lit("BR"), "ceid": F.lit("BR:pt")}), F.col("stale_hours"))
 
 
-@query("search_keyword_queries", """SELECT DISTINCT keyword, 'https://news.google.com/rss/search?q=' || replace(url_encode('when:3d "' || keyword || '"'), '%20', '+') || '&hl=pt-BR&gl=BR&ceid=BR%3Apt-419' AS query_url FROM keywords""")
+@query("search_keyword_queries", """SELECT DISTINCT keyword, 'https://news.google.com/rss/search?q=' || replace(url_encode('when:3d "' || keyword || '"'), '%20', '+') || '&hl=pt-BR&gl=BR&ceid=BR:pt' AS query_url FROM keywords""")
 def search_keyword_queries(spark, d):
     return search.keyword_queries(match.keyword_union(table(spark, d, "keywords")), 72)
 
 
+_native = ", ".join(f"('{x.code}', '{x.hl}', '{x.gl}', '{x.ceid}', {[t for t, _ in x.terms][:12]})" for x in LANGUAGES)
+
+
+@query(
+    "search_language_sites",
+    f"""WITH lang AS (SELECT * FROM (VALUES {_native}) AS v(lang, hl, gl, ceid, native)),
+    live AS (SELECT lower(keyword) AS lk, max(keyword) AS keyword FROM keywords WHERE trim(keyword) <> '' GROUP BY 1),
+    own AS (SELECT list(keyword ORDER BY list_position(native, lk_term))[:12] AS l FROM (SELECT keyword, native, list_filter(native, lambda t: lower(t) = lk)[1] AS lk_term FROM live, lang WHERE lang = 'en') WHERE lk_term IS NOT NULL),
+    every AS (SELECT list(keyword ORDER BY keyword) AS l FROM live),
+    t AS (SELECT lang, hl, gl, ceid, CASE WHEN lang = 'en' THEN coalesce((SELECT l FROM own), (SELECT l FROM every)) ELSE native END AS l FROM lang)
+    SELECT t.lang, domain, 'https://news.google.com/rss/search?q=' || replace(url_encode('site:' || domain || ' when:3d ("' || array_to_string(l, '" OR "') || '")'), '%20', '+') || '&hl=' || hl || '&gl=' || gl || '&ceid=' || ceid AS query_url
+    FROM source_registry JOIN t ON t.lang = main_lang""",
+)
+def search_language_sites(spark, d):
+    sites = table(spark, d, "source_registry").select(F.col("main_lang").alias("lang"), "domain")
+    return search.language_queries(LANGUAGES, sites, match.keyword_union(table(spark, d, "keywords")), 72)
+
+
 # --- health -------------------------------------------------------------------
 AGG = "'" + "','".join(AGGREGATORS) + "'"
 LATEST = "latest AS (SELECT * FROM feed_scans QUALIFY row_number() OVER (PARTITION BY domain, feed_url ORDER BY scanned_at DESC NULLS LAST, scan_id DESC) = 1)"
@@ -656,7 +685,7 @@ def lookup_snippets(spark, d):
 
 @query("url_chunks")
 def url_chunks(spark, d):
-    return chunking.chunk_urls(table(spark, d, "stored_articles")).select("url", "part", "chunk")
+    return chunking.chunk_urls(table(spark, d, "stored_articles")).select("url", "lane", "chunk")
 
 
 @query("lede_rescue_stage")
@@ -706,5 +735,5 @@ def stream_window_count(spark, d):
 @query("stream_fresh", f"SELECT item_id FROM raw_items WHERE (published_at IS NULL OR {IN_WINDOW}) AND (published_at IS NOT NULL OR {HINT} IS NULL OR epoch_us({HINT}) >= {AS_OF_US - (HOURS + 24) * 3_600_000_000})")
 def stream_fresh(spark, d):
     s = stream.read_items(spark, f"{d}/raw_items.parquet")
-    s = s.withColumn("published_hint", F.try_to_timestamp(F.regexp_extract(F.coalesce("published_hint", F.lit("")), r"^\s*(\d{4}-\d{2}-\d{2})", 1), F.lit("yyyy-MM-dd")))
+    s = s.withColumn("published_hint", hint_day(F.col("published_hint")))
     return stream.to_table(stream.fresh(s, as_of(), HOURS).select("item_id"), ["item_id"])

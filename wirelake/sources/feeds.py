@@ -6,13 +6,13 @@ turns them into text with the declared character set.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wirelake.functions import dates, html, text, urls
 
-# Marks of sitemap addresses, and the names of their post pages.
-SITEMAP_MARKS = ("sitemap.xml", "sitemap_index", "sitemap-news", "news-sitemap", "news_sitemap", "sitemap_news", "googlenews", "/sitemap")
+# Marks of news sitemap addresses, and the names of standard sitemaps' post pages.
+SITEMAP_MARKS = ("/sitemap/", "sitemap-news", "news-sitemap", "sitemap_news", "news.xml", "/noticias/sitemap.xml", "/noticia/sitemap.xml", "/news/sitemap.xml")
 POST_PAGE = r"(?i)^(?:wp-sitemap-posts-post-(\d+)|post-sitemap(\d*))\.xml$"
 NON_ARTICLE = ("category", "tag", "tags", "colunista", "dados", "autor", "author", "page", "search", "busca", "feed", "amp", "print", "rss")
 
@@ -23,6 +23,7 @@ _INDEX = "sitemap array<struct<loc: string, lastmod: string>>"
 
 
 def is_sitemap(url):
+    """Whether a feed address is a news sitemap, by its marks; others are read as RSS or Atom."""
     return F.lower(url).rlike("|".join(m.replace(".", r"\.") for m in SITEMAP_MARKS))
 
 
@@ -120,9 +121,3 @@ def listing_items(pages: DataFrame) -> DataFrame:
         return F.min_by(F.nullif(F.col(c), F.lit("")), F.when(F.col(c) != "", F.col("l.pos")))
 
     return x.groupBy("feed_url", "feed_domain", "url").agg(F.min("l.pos").alias("pos"), F.coalesce(first("l.title_hint"), F.lit("")).alias("title_hint"), dates.parse_iso(first("l.date_hint")).alias("published_hint"))
-
-
-def one_per_url(items: DataFrame, order: str = "seq") -> DataFrame:
-    """Batch collection: the first dated row of each URL, else its first row."""
-    w = Window.partitionBy("url").orderBy(F.col("published_at").isNull(), order)
-    return items.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")

@@ -39,3 +39,8 @@ def empty_rows(table: DataFrame, since, domain: str | None = None, limit: int |
 def lookup(table: DataFrame, keys: DataFrame, *columns: str, key: str = "url") -> DataFrame:
     """The stored columns of the keys that are there; a join, so no request size matters."""
     return table.select(key, *columns).join(keys.select(key).distinct(), key, "left_semi")
+
+
+def top_recent(table: DataFrame, site: str, n: int, key: str = "domain", date: str = "published_at", tie: str = "url") -> DataFrame:
+    """The newest ``n`` rows of a site; undated ones last."""
+    return table.filter(F.col(key) == site).orderBy(F.desc_nulls_last(date), tie).limit(n)

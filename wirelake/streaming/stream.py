@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wirelake.functions import dates, urls
 from wirelake.operators import merge as m
 from wirelake.operators.dedupe import last_by_key
-from wirelake.session import run_folder
+from wirelake.session import discard, materialize, run_folder
 
 
 def read_items(spark: SparkSession, path: str, per_batch: int | None = None) -> DataFrame:
@@ -43,20 +43,31 @@ def counts_per_window(stream: DataFrame, time: str = "collected_at", width: str
     return t.groupBy(F.window(time, width).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), key, "n")
 
 
-def upsert(folder: str, key: list[str], change: Callable[[DataFrame, DataFrame | None], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` writer: each batch makes the next version of a keyed table.
+BUCKETS = 64
 
-    The version is the batch's number, so a batch that runs again replaces its own.
+
+def upsert(folder: str, key: list[str], change: Callable[[DataFrame, DataFrame | None], DataFrame], buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer of a keyed table in ``buckets`` folders by the key's hash.
+
+    A batch rewrites only the buckets its keys fall into, each as a version with the
+    batch's number, so a batch that runs again replaces its own; versions older than the
+    one before the last are removed, as no reader is two batches behind.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        before = m.newest_version(spark, folder)
-        while before and before[0] > number:  # a version that a lost run wrote
-            before = None if before[0] == 0 else (before[0] - 1, f"{folder}/v={before[0] - 1:08d}")
-        if before and before[0] == number:
-            before = (number - 1, f"{folder}/v={number - 1:08d}") if number else None
-        m.write_table(spark, change(batch, spark.read.parquet(before[1]) if before else None), folder, number)
+        # the batch is read twice; a written copy costs less than its sources
+        new = materialize(batch.withColumn("_b", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")), "batch")
+        touched = sorted(r[0] for r in new.select("_b").distinct().collect())
+        if not touched:
+            return
+        have = m.bucket_versions(spark, folder, before=number)
+        old = [f"{folder}/b={b}/v={have[b][-1]:08d}" for b in touched if b in have]
+        rows = change(new.drop("_b"), spark.read.parquet(*old) if old else None)
+        rows = rows.withColumn("b", F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+        m.write_buckets(spark, rows, folder, number)
+        m.expire(spark, folder, {b: v for b, v in have.items() if b in touched})
+        discard(new)
 
     return write
 
@@ -76,6 +87,16 @@ def replace_by_key(keys: list[str], time: str | None = None) -> Callable[[DataFr
     return change
 
 
+def write_once(seq: str = "seq") -> Callable[[DataFrame, DataFrame | None], DataFrame]:
+    """The merge of article rows that keeps stored dates and overlays (``operators.merge``)."""
+
+    def change(new: DataFrame, old: DataFrame | None) -> DataFrame:
+        stored = old if old is not None else new.select(*[c for c in m.PERSISTED if c in new.columns]).limit(0)
+        return m.merge(new, stored, seq=seq)
+
+    return change
+
+
 def run_now(stream: DataFrame, write: Callable[[DataFrame, int], None], folder: str, mode: str = "append") -> StreamingQuery:
     """All data that is there, then the query ends."""
     q = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", folder).trigger(availableNow=True).start()
@@ -88,10 +109,10 @@ def run_every(stream: DataFrame, write: Callable[[DataFrame, int], None], folder
     return stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", folder).trigger(processingTime=f"{seconds} seconds").start()
 
 
-def to_table(stream: DataFrame, keys: list[str], time: str | None = None, mode: str = "append") -> DataFrame:
+def to_table(stream: DataFrame, keys: list[str], time: str | None = None, mode: str = "append", change: Callable | None = None) -> DataFrame:
     """Runs the stream to its present end and gives the keyed table."""
     spark = stream.sparkSession
     base = f"{run_folder(spark)}/stream-{uuid.uuid4().hex}"
-    run_now(stream, upsert(base + "/table", keys, replace_by_key(keys, time)), base + "/offsets", mode)
-    found = m.newest_version(spark, base + "/table")
-    return spark.read.parquet(found[1]) if found else spark.createDataFrame([], stream.schema)
+    run_now(stream, upsert(base + "/table", keys, change or replace_by_key(keys, time)), base + "/offsets", mode)
+    found = m.read_buckets(spark, base + "/table")
+    return found if found is not None else spark.createDataFrame([], stream.schema)
