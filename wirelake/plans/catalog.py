@@ -86,16 +86,28 @@ def norm_sql(u: str) -> str:
 
 
 IN_WINDOW = f"epoch_us(published_at) >= {AS_OF_US - HOURS * 3_600_000_000}"
-# the keyword table: spelling by lower case, pattern of the substring terms (longest first), patterns of the exact ones
-KW = r"""k AS (SELECT lower(keyword) AS lk, min(keyword) AS sp, bool_or(match_type = 'exact') AS ex FROM keywords WHERE trim(keyword) <> '' GROUP BY 1),
-p AS (SELECT '(?i)(?:' || string_agg(regexp_escape(lk), '|' ORDER BY length(lk) DESC, lk) || ')' AS pat FROM k WHERE NOT ex),
-e AS (SELECT lk, sp, '(?i)(?:^|[^\p{L}\p{N}\p{M}_])' || regexp_escape(lk) || '(?:$|[^\p{L}\p{N}\p{M}_])' AS epat FROM k WHERE ex)"""
+# the keyword table: spelling by lower case, pattern of the substring terms (longest first), patterns of the exact ones;
+# all texts are searched as one, so that a pattern is compiled once: MARK stands before each and holds its key
+MARK = r"\x{F8FF}\d+\x{F8FE}"
+KW = rf"""k AS (SELECT lower(keyword) AS lk, min(keyword) AS sp, bool_or(match_type = 'exact') AS ex FROM keywords WHERE trim(keyword) <> '' GROUP BY 1),
+p AS (SELECT '(?i)(?:{MARK}|' || string_agg(regexp_escape(lk), '|' ORDER BY length(lk) DESC, lk) || ')' AS pat FROM k WHERE NOT ex),
+e AS (SELECT lk, sp, '(?i)(?:{MARK}|[^\p{{L}}\p{{N}}\p{{M}}_]' || regexp_escape(lk) || '[^\p{{L}}\p{{N}}\p{{M}}_])' AS epat FROM k WHERE ex)"""
+
+
+def _big(src: str, key: str, txt: str) -> str:
+    return f"(SELECT string_agg(chr(63743) || {key} || chr(63742) || chr(10) || coalesce({txt}, '') || chr(10), '') AS big FROM {src})"
 
 
 def hits_sql(src: str, key: str, txt: str) -> str:
     """Rows (key, keyword) of all hits of the keyword table in ``txt`` of ``src``; needs ``KW``."""
-    return f"""SELECT DISTINCT {key}, sp AS keyword FROM (SELECT {key}, unnest(regexp_extract_all({txt}, pat)) AS h FROM {src}, p) x JOIN k ON lower(h) = lk
-    UNION SELECT {key}, sp AS keyword FROM {src} JOIN e ON regexp_matches({txt}, epat)"""
+
+    def attributed(pattern: str, more: str, of: str) -> str:
+        found = f"SELECT unnest(l) AS h, generate_subscripts(l, 1) AS i{more} FROM (SELECT regexp_extract_all(big, {pattern}) AS l{more} FROM {of}, {_big(src, key, txt)})"
+        part = f"PARTITION BY {more[2:]} " if more else ""
+        return f"SELECT h{more}, max_by(h, i) FILTER (h[1] = chr(63743)) OVER ({part}ORDER BY i) AS mark FROM ({found})"
+
+    return f"""SELECT DISTINCT mark[2:-2]::BIGINT AS {key}, sp AS keyword FROM ({attributed('pat', '', 'p')}) x JOIN k ON lower(h) = lk
+    UNION SELECT mark[2:-2]::BIGINT AS {key}, sp AS keyword FROM ({attributed('epat', ', sp', 'e')}) y WHERE h[1] <> chr(63743)"""
 
 
 def table_matcher(spark: SparkSession, d: str) -> match.Matcher:
@@ -128,9 +140,11 @@ def kw_match_documents(spark, d):
 
 @query(
     "kw_match_order",
-    f"""WITH {KW}, h AS (SELECT article_id, list_transform(regexp_extract_all(title, pat), lambda x: lower(x)) AS l FROM articles, p),
-    m AS (SELECT map_from_entries(list((lk, sp))) AS names FROM k)
-    SELECT article_id, array_to_string(list_transform(list_filter(l, lambda x, i: list_position(l, x) = i), lambda x: names[x]), '|') AS hits FROM h, m""",
+    f"""WITH {KW}, big AS (FROM {_big('articles', 'article_id', 'title')}),
+    x AS (SELECT unnest(l) AS h, generate_subscripts(l, 1) AS i FROM (SELECT regexp_extract_all(big, pat) AS l FROM big, p)),
+    y AS (SELECT h, i, max_by(h, i) FILTER (h[1] = chr(63743)) OVER (ORDER BY i) AS mark FROM x),
+    z AS (SELECT mark[2:-2]::BIGINT AS article_id, lower(h) AS lk, min(i) AS i FROM y WHERE h[1] <> chr(63743) GROUP BY 1, 2)
+    SELECT article_id, coalesce(hits, '') AS hits FROM articles LEFT JOIN (SELECT article_id, string_agg(sp, '|' ORDER BY i) AS hits FROM z JOIN k USING (lk) GROUP BY 1) USING (article_id)""",
 )
 def kw_match_order(spark, d):
     m = table_matcher(spark, d)
@@ -151,7 +165,7 @@ _native_sql = "(VALUES " + ", ".join(f"('{n}', '{c}')" for n, c in NATIVE.items(
 
 @query(
     "kw_canonical",
-    f"""SELECT DISTINCT item_id, concept FROM (SELECT item_id, unnest(regexp_extract_all(title, '{_NATIVE_PAT}')) AS h FROM raw_items) x JOIN {_native_sql} ON lower(h) = term""",
+    f"""SELECT DISTINCT item_id, concept FROM (SELECT item_id, unnest(regexp_extract_all(title, '{_NATIVE_PAT}')) AS h FROM raw_items) x JOIN {_native_sql} ON lower(h) = lower(term)""",
 )
 def kw_canonical(spark, d):
     m = match.compile_matcher(MatchConfig(tuple(NATIVE)))
