@@ -28,11 +28,11 @@ one id count once; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,42 +46,42 @@ SKETCH, AGREE = 64, 32
 #: texts whose shingles are worked on at once: they stay in the cache of a core
 LOT = 250
 THRESHOLD = 0.6
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _MIX1, _MIX2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
-def compare_form(c):
-    """Lower case; runs of other than letters and digits to one space; trimmed."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, elementwise."""
-    x = (x ^ (x >> np.uint64(30))) * _MIX1
-    x = (x ^ (x >> np.uint64(27))) * _MIX2
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= _MIX1
+    x ^= x >> np.uint64(27)
+    x *= _MIX2
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def shingle_hashes(texts: list[str], k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the k-character runs of each text (the whole text if shorter).
 
-    Returns the distinct (document, hash) pairs as two arrays, ordered by document.
+    Returns the distinct (document, hash) pairs as two arrays, ordered by document. A
+    run is a sum of its characters' mixed values times odd factors by place, mixed again.
     """
-    code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     n = np.array([len(t) for t in texts], dtype=np.int64)
+    code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     begin = np.cumsum(n) - n
     count = np.where(n >= k, n - k + 1, np.minimum(n, 1))
     doc = np.repeat(np.arange(len(texts)), count)
-    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
-    end = np.repeat(begin + n, count)
-    h = np.zeros(len(at), dtype=np.uint64)
-    padded = np.concatenate([code, np.zeros(k, dtype=np.uint64)])
+    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - begin, count)
     with np.errstate(over="ignore"):
-        for i in range(k):
-            c = np.where(at + i < end, padded[at + i] + np.uint64(1), np.uint64(0))
-            h = (h + c) * _STEP
-            h ^= h >> np.uint64(29)
-        h = mix(h)
-    return doc, h
+        value = np.concatenate([mix(code + np.uint64(1)), np.zeros(k, dtype=np.uint64)])
+        whole = value[: len(code)] * _FACTORS[0]
+        for i in range(1, k):
+            whole += value[i : i + len(code)] * _FACTORS[i]
+        h = whole[at]
+        for j in np.flatnonzero((n < k) & (n > 0)).tolist():  # the run over the end belongs to other texts
+            own = value[begin[j] : begin[j] + n[j]]
+            h[np.searchsorted(doc, j)] = (own * _FACTORS[: n[j]]).sum()
+        return doc, mix(h)
 
 
 def superminhash(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> np.ndarray:
@@ -100,7 +100,7 @@ def superminhash(doc: np.ndarray, h: np.ndarray, n_docs: int, m: int) -> np.ndar
             if not len(h):
                 break
             r = mix(h + np.uint64(2 * step + 1) * _STEP)
-            k = step + ((mix(r ^ _MIX2) >> np.uint64(32)) * np.uint64(m - step) >> np.uint64(32)).astype(np.int16)
+            k = step + ((r & np.uint64(0xFFFFFFFF)) * np.uint64(m - step) >> np.uint64(32)).astype(np.int16)
             # register now at place k of the element's permutation: undo earlier swaps
             at = k.copy()
             for j in range(step - 1, -1, -1):
@@ -154,10 +154,20 @@ def _banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), BANDS)), pa.array(keys.reshape(-1))], names=["id", "v"])
 
 
-def forms_of(texts: list[str | None]) -> pa.Array:
-    """The comparison form of each text; NULL stays NULL."""
-    low = pa.array([None if t is None else t.lower() for t in texts], pa.string())
-    return pc.utf8_trim(pc.replace_substring_regex(low, r"[^\pL\pN]+", " "), " ")
+class _Letters(dict):
+    """Letters and digits as they are, all else a space; filled as characters come."""
+
+    def __missing__(self, c: int) -> int:
+        self[c] = c if unicodedata.category(chr(c))[0] in "LN" else 32
+        return self[c]
+
+
+_LETTERS = _Letters()
+
+
+def form_of(text: str | None) -> str | None:
+    """The comparison form: lower case, runs of other than letters and digits one space, trimmed."""
+    return None if text is None else " ".join(text.lower().translate(_LETTERS).split())
 
 
 _FORMS = "id bigint, rep bigint, t string, s string, h binary, sig binary, k1 bigint, k2 bigint, k3 bigint, k4 bigint"
@@ -169,12 +179,11 @@ def _prepared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for lo in range(0, b.num_rows, LOT):
             part = b.slice(lo, LOT)
-            t, s = (forms_of(part.column(i).to_pylist()) for i in (2, 3))
-            lt, ls = t.to_pylist(), s.to_pylist()
+            lt, ls = ([form_of(x) for x in part.column(i).to_pylist()] for i in (2, 3))
             h = [None if x is None else hashlib.md5(f"{x}\n{y}".encode("utf-8", "surrogatepass"), usedforsecurity=False).digest() for x, y in zip(lt, ls)]
             sig = signatures([x or "" for x in lt], [y or "" for y in ls])
             cells = [x.tobytes() if y else None for x, y in zip(sig, lt)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), t, s, pa.array(h, pa.binary()), pa.array(cells, pa.binary()), *map(pa.array, sketches(sig))], names=names)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lt, pa.string()), pa.array(ls, pa.string()), pa.array(h, pa.binary()), pa.array(cells, pa.binary()), *map(pa.array, sketches(sig))], names=names)
 
 
 def _jaccards(x: list[str], y: list[str], k: int) -> np.ndarray:
@@ -200,9 +209,10 @@ def similarities(x: list[str], y: list[str]) -> np.ndarray:
     low, sides = np.uint64(0xFFF), []
     for texts in (x, y):
         doc, h = shingle_hashes(texts)
-        sides.append(np.unique((h & ~low) | doc.astype(np.uint64)))
+        side = np.sort((h & ~low) | doc.astype(np.uint64))
+        sides.append(side[np.append(side[1:] != side[:-1], True)] if len(side) else side)
     n = sum(np.bincount((s & low).astype(np.int64), minlength=len(x)) for s in sides)
-    both = np.sort(np.concatenate(sides), kind="stable")
+    both = np.sort(np.concatenate(sides))
     both = np.bincount((both[1:][both[1:] == both[:-1]] & low).astype(np.int64), minlength=len(x))
     return both / np.maximum(n - both, 1)
 
