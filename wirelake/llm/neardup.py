@@ -27,7 +27,6 @@ one id count once; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -151,7 +150,7 @@ def _banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = b.slice(lo, LOT)
             sig = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint8).reshape(part.num_rows, 2, -1)
             keys = band_numbers(sig)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), BANDS)), pa.array(keys.reshape(-1))], names=["id", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(np.repeat(part.column(0).to_numpy(), BANDS))], names=["v", "id"])
 
 
 class _Letters(dict):
@@ -170,20 +169,19 @@ def form_of(text: str | None) -> str | None:
     return None if text is None else " ".join(text.lower().translate(_LETTERS).split())
 
 
-_FORMS = "id bigint, rep bigint, t string, s string, h binary, sig binary, k1 bigint, k2 bigint, k3 bigint, k4 bigint"
+_FORMS = "id bigint, rep bigint, t string, s string, sig binary, k1 bigint, k2 bigint, k3 bigint, k4 bigint"
 
 
 def _prepared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``id, rep, t, s`` with the comparison forms, their hash, signature and sketches."""
+    """``id, rep, t, s`` with the comparison forms, their signature and sketches."""
     names = [c.split()[0] for c in _FORMS.split(", ")]
     for b in batches:
         for lo in range(0, b.num_rows, LOT):
             part = b.slice(lo, LOT)
             lt, ls = ([form_of(x) for x in part.column(i).to_pylist()] for i in (2, 3))
-            h = [None if x is None else hashlib.md5(f"{x}\n{y}".encode("utf-8", "surrogatepass"), usedforsecurity=False).digest() for x, y in zip(lt, ls)]
             sig = signatures([x or "" for x in lt], [y or "" for y in ls])
             cells = [x.tobytes() if y else None for x, y in zip(sig, lt)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lt, pa.string()), pa.array(ls, pa.string()), pa.array(h, pa.binary()), pa.array(cells, pa.binary()), *map(pa.array, sketches(sig))], names=names)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lt, pa.string()), pa.array(ls, pa.string()), pa.array(cells, pa.binary()), *map(pa.array, sketches(sig))], names=names)
 
 
 def _jaccards(x: list[str], y: list[str], k: int) -> np.ndarray:
@@ -242,7 +240,7 @@ def classes(records: DataFrame, id_col: str = "article_id", title: str = "title"
     forms = raw.join(rep, "h").select("id", "rep", F.when(own, F.col("t")).alias("t"), F.when(own, F.col("s")).alias("s"))
     forms = forms.mapInArrow(_prepared, _FORMS)
     forms = materialize(forms.filter("t is null or t <> '' and s <> ''"), "p1-forms")
-    first = forms.filter("t is not null")
+    first = forms.filter("t is not null").withColumn("h", F.unhex(F.md5(F.concat_ws("\n", "t", "s"))))
     several = first.groupBy("h").agg(F.min("id").alias("best"), F.max("id").alias("last")).filter("best < last")
     again = materialize(first.select("h", F.col("id").alias("other")).join(several, "h").filter("other <> best").select("other", "best").distinct(), "p1-again")
     # these are few as a rule; where they are not, the join shuffles
@@ -254,10 +252,11 @@ def classes(records: DataFrame, id_col: str = "article_id", title: str = "title"
 
 def links(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All verified pairs ``(a, b)``, a < b, of class representatives; rows of one id count once."""
-    bands = texts.select("id", "sig").mapInArrow(_banded, "id bigint, v bigint")
-    x = bands.select(F.col("id").alias("a"), F.col("v").alias("v1"))
+    bands = texts.select("id", "sig").mapInArrow(_banded, "v bigint, id bigint")
+    # the number stands first: the zero bytes of an id then compress with the head of the next row
+    x = bands.select(F.col("v").alias("v1"), F.col("id").alias("a"))
     # many rows come of each text, which the planner can't know: never broadcast them
-    y = bands.select(F.col("id").alias("b"), F.col("v").alias("v2")).hint("merge")
+    y = bands.select(F.col("v").alias("v2"), F.col("id").alias("b")).hint("merge")
     same = F.shiftright("v1", BITS) == F.shiftright("v2", BITS)
     unlike = F.bit_count(F.col("v1").bitwiseXOR(F.col("v2")))  # the keys are equal
     cand = x.join(y, same & (F.col("a") < F.col("b")) & (unlike <= BITS - LIKE)).select("a", "b").distinct()
