@@ -104,7 +104,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return sitelines.p6_found(table(spark, d, "articles"))
 
 
-@query("p6_clean")
+@query("p6_clean", sitelines.P6_CLEAN_SQL)
 def p6_clean(spark: SparkSession, d: str) -> DataFrame:
     return sitelines.p6_clean(table(spark, d, "articles"))
 

@@ -161,3 +161,9 @@ f AS (
   HAVING count(DISTINCT article_id) >= {MIN_DOCS} AND count(DISTINCT article_id) * {MIN_SHARE} >= n_site)
 SELECT article_id, line_no FROM k JOIN f USING (domain, form)
 """
+
+P6_CLEAN_SQL = P6_SQL.replace("SELECT article_id, line_no FROM k JOIN f USING (domain, form)", """, z AS (
+  SELECT article_id, string_agg(line, chr(10) ORDER BY l.line_no) FILTER (f.form IS NULL) AS kept
+  FROM l JOIN k USING (article_id, domain, line_no) LEFT JOIN f USING (domain, form) GROUP BY article_id)
+SELECT article_id, CASE WHEN snippet IS NULL OR domain IS NULL THEN snippet ELSE coalesce(kept, '') END AS snippet
+FROM articles LEFT JOIN z USING (article_id)""")
