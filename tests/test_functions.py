@@ -107,3 +107,14 @@ def test_small_helpers(spark, tmp_path):
     assert [r.url for r in tables.lookup(rows, rows.filter("url = 'x'"), "snippet").collect()] == ["x"]
     raw = spark.createDataFrame([(bytearray("ação".encode("latin-1")), "ISO-8859-1"), (bytearray("ação".encode()), None)], "b binary, c string")
     assert [r[0] for r in raw.select(text.decode_bytes(F.col("b"), F.col("c"))).collect()] == ["ação", "ação"]
+
+
+def test_western_bytes_have_their_quotes(spark):
+    raw = spark.createDataFrame([(bytearray("“sim” – não…".encode("cp1252")), "ISO-8859-1"), (bytearray("“sim” – não…".encode("cp1252")), "windows-1252")], "b binary, c string")
+    assert {r[0] for r in raw.select(text.decode_bytes(F.col("b"), F.col("c"))).collect()} == {"“sim” – não…"}
+
+
+def test_all_noise_paragraphs_go(spark):
+    noise = ["por Joao Silva", "© 2024 bloomberg", "Economia | Brasil", "receba as notícias do dia", "Assine já", "» veja", "Você atingiu o limite"]
+    df = spark.createDataFrame([(noise + ["O texto fica."],)], "p array<string>")
+    assert df.select(text.clean_paragraphs(F.col("p"))).collect()[0][0] == ["O texto fica."]

@@ -141,3 +141,29 @@ def test_run(spark):
     again = pipeline.run(spark.createDataFrame(data, ITEM), r.table, pages, reg, cfg, now()).table
     assert {x.url: x.snippet for x in again.collect()} == {u: x.snippet for u, x in got.items()}
     assert {x.drop_reason for x in r.counters().collect()} == {None}
+
+
+def test_profile_with_rescued_and_times(spark):
+    from pyspark.sql import functions as F
+
+    from wirelake.operators import health
+
+    items = spark.createDataFrame([("a", None, "text"), ("a", None, ""), ("b", None, None)], "source_domain string, published_at timestamp, summary string")
+    routed = spark.createDataFrame([("a", "lede"), ("a", "title")], "source_domain string, route string")
+    rescued = routed.filter("route = 'lede'")
+    times = spark.createDataFrame([("a", 10.0), ("a", 30.0)], "source_domain string, ms double")
+    got = {r.source_domain: (r.items, r.passed, r.near, r.no_body, r.rescued, r.ms) for r in health.yield_profile(items, routed, F.current_timestamp(), 24, rescued=rescued, timings=times).collect()}
+    assert got == {"a": (2, 1, 1, 1, 1, 20.0), "b": (1, 0, 0, 1, 0, None)}
+
+
+def test_collect_tells_what_went_wrong(spark):
+    from wirelake.sources import registry
+
+    rss = spark.createDataFrame([("a", "https://a/feed"), ("a", "https://a/news.xml"), ("b", "https://b/feed"), ("b", "https://b/feed"), ("c", None)], "domain string, url string")
+    listings = spark.createDataFrame([("d", "https://d/")], "domain string, url string")
+    t = registry.tasks(rss, listings=listings)
+    assert {(r.kind, r.url) for r in t.collect()} == {("rss", "https://a/feed"), ("news_sitemap", "https://a/news.xml"), ("rss", "https://b/feed"), ("listing", "https://d/")}
+    items = spark.createDataFrame([("https://a/feed", None)] * 2, "feed_url string, published_at timestamp")
+    went = spark.createDataFrame([("https://b/feed", "read timed out", 9.0)], "url string, err string, ms double")
+    got = {r.url: (r.n_items, r.err) for r in registry.collect(t, items, went).collect()}
+    assert got == {"https://a/feed": (2, None), "https://a/news.xml": (0, "no entries"), "https://b/feed": (-1, "read timed out"), "https://d/": (0, None)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wirelake.functions import dates, text, urls
@@ -47,13 +47,34 @@ def stale_feeds(newest: DataFrame, budgets: DataFrame, as_of: Column, aggregator
     return d.filter(F.col("age_h") > F.col("budget_h")).select("domain", "feed_url", "newest", "budget_h", "age_h").orderBy(F.desc("age_h"), "domain", "feed_url")
 
 
-def yield_profile(items: DataFrame, routed: DataFrame, as_of: Column, hours: int, key: str = "source_domain") -> DataFrame:
-    """Per source: items, span of dates in hours, fresh (undated count), passed, near misses, without body."""
+def yield_profile(items: DataFrame, routed: DataFrame, as_of: Column, hours: int, key: str = "source_domain", rescued: DataFrame | None = None, timings: DataFrame | None = None) -> DataFrame:
+    """Per source: items, span of dates in hours, fresh (undated count), passed, near misses, without body.
+
+    With ``rescued`` (near misses whose lede matched) also ``rescued``, with
+    ``timings(key, ms)`` also ``ms``, the mean time of its requests.
+    """
     fresh = F.col("published_at").isNull() | dates.within_window(F.col("published_at"), as_of, hours)
     span = (F.unix_micros(F.max("published_at")) - F.unix_micros(F.min("published_at"))) / 3.6e9
     a = items.groupBy(key).agg(F.count(F.lit(1)).alias("items"), F.round(span, 3).alias("span_h"), F.count_if(fresh).alias("fresh"), F.count_if(text.is_blank(F.col("summary"))).alias("no_body"))
     b = routed.groupBy(key).agg(F.count_if(F.col("route") != "lede").alias("passed"), F.count_if(F.col("route") == "lede").alias("near"))
-    return a.join(b, key, "left").select(key, "items", "span_h", "fresh", F.coalesce("passed", F.lit(0)).alias("passed"), F.coalesce("near", F.lit(0)).alias("near"), "no_body")
+    out = a.join(b, key, "left")
+    columns = [F.col(key), F.col("items"), F.col("span_h"), F.col("fresh"), F.coalesce("passed", F.lit(0)).alias("passed"), F.coalesce("near", F.lit(0)).alias("near"), F.col("no_body")]
+    if rescued is not None:
+        out = out.join(rescued.groupBy(key).agg(F.count(F.lit(1)).alias("_r")), key, "left")
+        columns.append(F.coalesce("_r", F.lit(0)).alias("rescued"))
+    if timings is not None:
+        out = out.join(timings.groupBy(key).agg(F.avg("ms").alias("ms")), key, "left")
+        columns.append(F.col("ms"))
+    return out.select(*columns)
+
+
+def error_lines(scans: DataFrame, n: int = 10) -> DataFrame:
+    """Per kind of failure: how many scans, and their first ``n`` lines ``domain: message`` in order, once each."""
+    d = scans.filter(~text.is_blank(F.col("err"))).select(text.error_class(F.col("err")).alias("kind"), F.concat_ws(": ", "domain", "err").alias("line"))
+    per = d.groupBy("kind", "line").agg(F.count(F.lit(1)).alias("c"))
+    k = F.row_number().over(Window.partitionBy("kind").orderBy("line"))
+    first = per.withColumn("k", k).filter(F.col("k") <= n).groupBy("kind").agg(F.array_join(F.array_sort(F.collect_list("line")), " | ").alias("lines"))
+    return per.groupBy("kind").agg(F.sum("c").alias("n")).join(first, "kind").select("kind", "n", "lines")
 
 
 def verdicts(rows: DataFrame, ok: Column, key: str = "domain", n: int = 25) -> DataFrame:

@@ -16,7 +16,7 @@ from wirelake.functions import dates, html, match, text, urls
 from wirelake.operators import chunking, dedupe, enrich, fair, health, merge, route, timestamps, translate
 from wirelake.plans import pipeline
 from wirelake.session import table
-from wirelake.sources import feeds, search, tables
+from wirelake.sources import extractors, feeds, registry, search, tables
 from wirelake.streaming import stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -408,7 +408,7 @@ def validate_articles(spark, d):
 def pipeline_run(spark, d):
     pages = items(spark, d).groupBy("url").agg(F.max(F.concat(F.lit("<html><body><article>"), F.coalesce("summary", F.lit("")), F.lit("</article></body></html>"))).alias("html"))
     stored = table(spark, d, "stored_articles").withColumn("published_at", dates.parse_iso(F.col("published_at")))
-    r = pipeline.run(dated_items(spark, d), stored, pages, table(spark, d, "source_registry"), run_config(spark, d), as_of(), translator=lambda t, lang: f"[{lang}] {t}")
+    r = pipeline.run(dated_items(spark, d), stored, pages, table(spark, d, "source_registry"), run_config(spark, d), as_of(), extractors=extractors.extractor_rows(spark), translator=lambda t, lang: f"[{lang}] {t}")
     return r.table.select("url", "domain", "title", "snippet", F.unix_micros("published_at").alias("published_us"), F.array_join("matched_keywords", "|").alias("keywords"), "source_lang", "title_en")
 
 
@@ -640,16 +640,123 @@ def distinct_sites(spark, d):
 
 
 # --- extraction ---------------------------------------------------------------
+def _xml(c):
+    """Text as the content of an element; signs that XML has no form for are left out."""
+    plain = F.regexp_replace(F.coalesce(c, F.lit("")), r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]", "")
+    return F.replace(F.replace(F.replace(plain, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def _documents(rows, element, kind: str):
+    """Documents of some hundred elements each: ``feed_url, feed_domain, body``."""
+    part = F.floor(F.col("item_id") / 200)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", element.alias("x")))), lambda e: e.x), "\n")
+    head, tail = {"rss": ("<rss><channel>", "</channel></rss>"), "news": ("<urlset>", "</urlset>")}[kind]
+    return rows.groupBy("feed_url", "feed_domain", part.alias("part")).agg(F.concat(F.lit(head), body, F.lit(tail)).alias("body"))
+
+
+_SQUEEZE = r"trim(regexp_replace(regexp_replace(coalesce({c}, ''), '[\x00-\x08\x0B\x0C\x0E-\x1F\x{{FFFE}}\x{{FFFF}}]', '', 'g'), '[\s\p{{Z}}]+', ' ', 'g'))"
+
+
+@query(
+    "feed_rss_items",
+    rf"""SELECT feed_url, {norm_sql('url')} AS url, {_SQUEEZE.format(c='title')} AS title, (epoch_us(published_at) // 1000000) * 1000000 AS published_us, {HOST.format(u='url')} AS source_domain FROM raw_items WHERE trim(coalesce(url, '')) <> ''""",
+)
+def feed_rss_items(spark, d):
+    """Every raw item written as an entry of an RSS document and read back as an item row."""
+    e = F.concat(F.lit("<item><title>"), _xml(F.col("title")), F.lit("</title><link>"), _xml(F.col("url")), F.lit("</link><pubDate>"), F.coalesce(F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss Z"), F.lit("")), F.lit("</pubDate></item>"))
+    got = feeds.entries_to_items(feeds.rss_entries(_documents(items(spark, d), e, "rss")), [])
+    return got.select("feed_url", "url", text.collapse(F.col("title")).alias("title"), F.unix_micros("published_at").alias("published_us"), "source_domain")
+
+
+@query(
+    "sitemap_news_items",
+    rf"""SELECT feed_url, trim(url) AS url, {_SQUEEZE.format(c='title')} AS title, (epoch_us(published_at) // 1000000) * 1000000 AS published_us FROM raw_items WHERE trim(coalesce(url, '')) <> ''""",
+)
+def sitemap_news_items(spark, d):
+    """Every raw item written as an entry of a news sitemap and read back."""
+    at = F.coalesce(F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(""))
+    e = F.concat(F.lit("<url><loc>"), _xml(F.col("url")), F.lit("</loc><news:news><news:title>"), _xml(F.col("title")), F.lit("</news:title><news:publication_date>"), at, F.lit("</news:publication_date></news:news></url>"))
+    docs = _documents(items(spark, d), e, "news").withColumn("body", F.replace("body", F.lit("<urlset>"), F.lit('<urlset xmlns:news="n">')))
+    got = feeds.sitemap_entries(docs)
+    return got.select("feed_url", "url", text.collapse(F.coalesce("title", F.lit(""))).alias("title"), F.unix_micros("published").alias("published_us"))
+
+
+def _html(c):
+    return F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+FAMILIES = ("globo", "agenciainfra", "gazetadopovo", "jornaldocomercio", "jota", "generic")
+BODIES = {
+    "globo": ("<article><div class='mc-article-body'>", "</div></article>"),
+    "agenciainfra": ("<article></article><div class='elementor-widget-theme-post-content'><div class='elementor-widget-container'>", "</div></div>"),
+    "gazetadopovo": ("<article>menu</article><div class='x__postBodyContainer'>", "</div>"),
+    "jornaldocomercio": ("<article></article><section class='paywall-carregando x'><div>", "</div></section>"),
+    "jota": ('<script id="__NEXT_DATA__">{"props": {"pageProps": {"post": {"content": "', '"}}}}</script>'),
+    "generic": ("<div itemprop='articleBody'>", "</div>"),
+}
+
+
+@query(
+    "page_extract",
+    r"""WITH l AS (SELECT article_id, title, list_filter(list_transform(string_split(coalesce(snippet, ''), chr(10)), lambda x: trim(regexp_replace(x, '[\s\p{Z}\x1C-\x1F\x{85}]+', ' ', 'g'))), lambda x: x <> '') AS l FROM articles)
+    SELECT article_id, trim(regexp_replace(coalesce(title, ''), '[\s\p{Z}\x1C-\x1F\x{85}]+', ' ', 'g')) AS title, array_to_string(l, '|') AS paragraphs FROM l""",
+)
+def page_extract(spark, d):
+    """Every article written as a page of one of six kinds of site and extracted by that site's row."""
+    squeeze = lambda c: F.trim(F.regexp_replace(c, r"[\s\p{Z}\x1C-\x1F\x{85}]+", " "))
+    lines = F.filter(F.split(F.coalesce("snippet", F.lit("")), "\n", -1), lambda x: squeeze(x) != "")
+    family = F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), (F.pmod(F.col("article_id"), F.lit(len(FAMILIES))) + 1).cast("int"))
+    paragraphs = F.concat(F.lit("<p>"), F.array_join(F.transform(lines, _html), "</p><p>"), F.lit("</p>"))
+    broken = F.array_join(F.transform(lines, _html), "<br>")
+    quoted = F.regexp_replace(F.to_json(F.struct(paragraphs.alias("x"))), r'^\{"x":"|"\}$', "")
+    body = F.when(family == "jornaldocomercio", broken).when(family == "jota", F.replace(quoted, F.lit("</"), F.lit("<\\/"))).otherwise(paragraphs)
+    wrap = [F.element_at(F.create_map(*[F.lit(x) for k, v in BODIES.items() for x in (k, v[i])]), family) for i in (0, 1)]
+    head = F.concat(F.lit('<html><head><meta property="og:title" content="'), F.replace(_html(F.col("title")), F.lit('"'), F.lit("&quot;")), F.lit('"></head><body>'))
+    pages = table(spark, d, "articles").select("article_id", family.alias("family"), F.concat(head, wrap[0], body, wrap[1], F.lit("</body></html>")).alias("html"))
+    spec = F.element_at(F.create_map(*[F.lit(x) for k in FAMILIES for x in (k, extractors.SELECTORS[k])]), F.col("family"))
+    got = pages.select("article_id", html.extract_page("html", spec).alias("p"))
+    return got.select("article_id", squeeze(F.col("p.title")).alias("title"), F.array_join(F.transform("p.paragraphs", squeeze), "|").alias("paragraphs"))
+
+
+@query("registry_tasks", """SELECT DISTINCT CASE WHEN regexp_matches(lower(feed_url), '/sitemap/|sitemap-news|news-sitemap|sitemap_news|news\\.xml|/noticias/sitemap\\.xml|/noticia/sitemap\\.xml|/news/sitemap\\.xml') THEN 'news_sitemap' ELSE 'rss' END AS kind, domain, feed_url AS url FROM source_registry WHERE trim(coalesce(feed_url, '')) <> ''""")
+def registry_tasks(spark, d):
+    return registry.tasks(table(spark, d, "source_registry").select("domain", F.col("feed_url").alias("url")))
+
+
+@query(
+    "collect_health",
+    """WITH t AS (SELECT DISTINCT domain, feed_url FROM source_registry WHERE trim(coalesce(feed_url, '')) <> ''), g AS (SELECT feed_url, count(*) AS n, max(published_at) AS newest FROM raw_items GROUP BY 1),
+    o AS (SELECT feed_url, max(err) AS err FROM feed_scans GROUP BY 1)
+    SELECT domain, t.feed_url AS url, CASE WHEN coalesce(n, 0) = 0 AND regexp_matches(lower(coalesce(err, '')), 'timeout|timed out') AND NOT regexp_matches(lower(coalesce(err, '')), '429|too many|blocked|captcha|denied|403') THEN -1 ELSE coalesce(n, 0) END::BIGINT AS n_items,
+      epoch_us(newest) AS newest_us, CASE WHEN coalesce(n, 0) = 0 AND trim(coalesce(err, '')) = '' THEN 'no entries' ELSE err END AS err
+    FROM t LEFT JOIN g USING (feed_url) LEFT JOIN o USING (feed_url)""",
+)
+def collect_health(spark, d):
+    t = registry.tasks(table(spark, d, "source_registry").select("domain", F.col("feed_url").alias("url")))
+    outcomes = table(spark, d, "feed_scans").select(F.col("feed_url").alias("url"), "err", F.lit(None).cast("double").alias("ms"))
+    return registry.collect(t, items(spark, d), outcomes).select("domain", "url", "n_items", F.unix_micros("newest").alias("newest_us"), "err")
+
+
+@query(
+    "error_lines",
+    """WITH e AS (SELECT CASE WHEN regexp_matches(lower(err), '429|too many|blocked|captcha|denied|403') THEN 'block' WHEN regexp_matches(lower(err), 'timeout|timed out') THEN 'timeout' ELSE 'error' END AS kind, concat_ws(': ', domain, err) AS line FROM feed_scans WHERE trim(coalesce(err, '')) <> ''),
+    f AS (SELECT kind, line FROM (SELECT DISTINCT kind, line FROM e) QUALIFY row_number() OVER (PARTITION BY kind ORDER BY line) <= 10)
+    SELECT kind, n, lines FROM (SELECT kind, count(*) AS n FROM e GROUP BY 1) JOIN (SELECT kind, string_agg(line, ' | ' ORDER BY line) AS lines FROM f GROUP BY 1) USING (kind)""",
+)
+def error_lines(spark, d):
+    return health.error_lines(table(spark, d, "feed_scans"))
+
+
 @query("html_paragraphs")
 def html_paragraphs(spark, d):
     t = items(spark, d).filter(F.col("summary").rlike("(?i)<p[ >]"))
     return t.select("item_id", F.array_join(html.html_paragraphs("summary"), "|").alias("paragraphs"))
 
 
-@query("html_title", r"SELECT item_id, trim(regexp_extract(summary, '(?s)<h1>([^<]*)</h1>', 1), ' ' || chr(10)) AS title FROM raw_items WHERE regexp_matches(summary, '<h1>[^<>&]+</h1>')")
+@query("html_title", r"SELECT item_id, trim(regexp_replace(coalesce(nullif(regexp_extract(summary, '(?s)<h1>([^<]*)</h1>', 1), ''), regexp_extract(summary, '(?s)<title>([^<]*)</title>', 1)), '[\s\p{Z}]+', ' ', 'g')) AS title FROM raw_items WHERE regexp_matches(summary, '<h1>[^<>&]+</h1>') OR regexp_matches(summary, '<title>[^<>&]+</title>') AND NOT regexp_matches(summary, '<h1')")
 def html_title(spark, d):
-    t = items(spark, d).filter(F.col("summary").rlike("<h1>[^<>&]+</h1>"))
-    return t.select("item_id", html.extract_page("summary", F.lit(None).cast("string"))["title"].alias("title"))
+    t = items(spark, d).filter(F.col("summary").rlike("<h1>[^<>&]+</h1>") | F.col("summary").rlike("<title>[^<>&]+</title>") & ~F.col("summary").rlike("<h1"))
+    return t.select("item_id", text.collapse(html.extract_page("summary", F.lit(None).cast("string"))["title"]).alias("title"))
 
 
 @query("html_links")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wirelake.config import RunConfig
+from wirelake.functions import text
 from wirelake.functions.match import compile_matcher, widened
 from wirelake.operators import dedupe, enrich, fair, merge, route, translate
 from wirelake.session import materialize
@@ -27,6 +28,13 @@ class Run:
         """Counts per reason, NULL for kept rows."""
         return self.judged.groupBy("drop_reason").agg(F.count(F.lit(1)).alias("n"))
 
+    def log(self) -> DataFrame:
+        """One row for the run log: routed by way, judged, kept, kept without text, kept in other languages."""
+        ways = self.routed.agg(*[F.count_if(F.col("route") == w).alias(w) for w in ("title", "summary", "url", "lede")])
+        judged = self.judged.agg(F.count(F.lit(1)).alias("judged"), F.count_if(F.col("drop_reason").isNotNull()).alias("dropped"))
+        kept = self.kept.agg(F.count(F.lit(1)).alias("kept"), F.count_if(text.is_blank(F.col("snippet"))).alias("without_text"), F.count_if(translate.is_foreign(F.col("source_lang"))).alias("foreign"))
+        return ways.join(judged).join(kept)  # one row each
+
 
 def run(
     items: DataFrame,
