@@ -41,7 +41,7 @@ from wirelake.session import discard, materialize
 
 SIMILARITY, SHINGLE = 0.8, 5
 HAMMING, TABLES, KEY_BITS = 18, 40, 12
-SUPPORT, SHARE, PARTNERS = 4, 0.5, 3
+SUPPORT, SHARE, PARTNERS = 4, 0.2, 3
 FRONTIER = 100_000
 
 # Unfilled template fields, in any place of a text.
