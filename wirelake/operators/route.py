@@ -12,6 +12,11 @@ from wirelake.functions.match import Matcher, canonical
 TOPIC, LEDE = "#topic", "#lede"
 
 
+def _once(d: DataFrame, **columns: Column) -> DataFrame:
+    """With more columns, each worked out once a row: the optimiser copies no expression through ``inline``."""
+    return d.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def route(items: DataFrame, matcher: Matcher, config: RunConfig, as_of: Column, rescue: bool = True) -> DataFrame:
     """Items with ``route`` (topic, url, title, summary, lede) and ``matched``; others are dropped.
 
@@ -28,8 +33,8 @@ def route(items: DataFrame, matcher: Matcher, config: RunConfig, as_of: Column,
     slug_text = F.translate(urls.slug(F.col("url")), "-", " ")
     url_hits = matcher.hits(F.when(F.col("published_at").isNull(), path_text).otherwise(slug_text))
     d = items.filter(in_time & hint_ok)
-    d = d.withColumn("_t", F.when(~topical & ~bare, matcher.hits(title))).withColumn("_u", F.when(~topical & bare, url_hits))
-    d = d.withColumn("_s", F.when(F.size("_t") == 0, matcher.hits(text.strip_related(summary))))
+    d = _once(d, _t=F.when(~topical & ~bare, matcher.hits(title)), _u=F.when(~topical & bare, url_hits))
+    d = _once(d, _s=F.when(F.size("_t") == 0, matcher.hits(text.strip_related(summary))))
     can_rescue = F.lit(rescue) & (title != "") & F.col("published_at").isNotNull()
     d = d.withColumn(
         "route",
