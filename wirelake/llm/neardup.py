@@ -41,7 +41,7 @@ from wirelake.session import discard, materialize
 SHINGLE = 5
 BANDS, ROWS = 56, 2
 LIKE, BITS = 16, 24
-SKETCH, AGREE = 64, 32
+SKETCH, AGREE = 64, 30
 #: texts whose shingles are worked on at once: they stay in the cache of a core
 LOT = 250
 THRESHOLD = 0.6
