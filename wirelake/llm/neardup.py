@@ -8,12 +8,12 @@ A band is two registers of each signature: a pair falls in one bucket with proba
 ``(s1 * s2) ** 2``. The low 24 bits of a band's number are no key but a sketch, one bit of
 each of 24 registers outside the band; of two records in a bucket at least ``LIKE`` = 16
 must agree, which a pair at the threshold, 0.60 in both fields, does with 0.97 and a
-chance pair with 0.28. With ``BANDS`` = 56 a pair at the threshold is missed with 1 in 1 900,
-at 0.65 in both with 1 in 150 000.
+chance pair with 0.28. With ``BANDS`` = 56 a pair at the threshold is missed with 1 in 1 760,
+at 0.65 in both with 1 in 50 000.
 
 Before any text moves, candidates are compared by two bits of each of 64 registers a
 field: a field at the threshold agrees in 45 of 64 on average and in fewer than ``AGREE`` =
-32 with 1 in 3 000; one of a chance pair in 25 or so. Registers are kept as one byte each.
+30 with 1 in 30 000; one of a chance pair in 25 or so. Registers are kept as one byte each.
 
 Equal copies (same texts as stored, then same comparison form of both fields) are one
 class from the start: only the class representative, its smallest id, is hashed, so a group of copies of any size puts one row in each bucket.
